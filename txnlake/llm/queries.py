@@ -7,20 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import simhash_trie
+from txnlake.llm import maxscore, packing, simhash_trie, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(_table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_trie.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = maxscore.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_warc_dictionary": op6_warc_dictionary,
+    "op7_nnls_packing": op7_nnls_packing,
     "op9_simhash_trie": op9_simhash_trie,
+    "op10_maxscore": op10_maxscore,
 }
 
 #: No operator of this list is expressible in SQL over whole tables at a bearable speed but those named here.
