@@ -4,16 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import maxscore, packing, simhash_trie, warc
+from txnlake.llm import maxscore, packing, ppm_langid, sharding, simhash_trie, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(n: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op3_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder(4) == 2, F.lit(False))
+    model = ppm_langid.train(docs.where(~held_out))
+    found = ppm_langid.predict(docs, model, keep=(held_out.alias("held_out"),))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.round_trip(_table(spark, sf_dir, "pages"))
     return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -25,6 +37,11 @@ def op7_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_trie.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -36,8 +53,10 @@ def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_ppm_langid": op3_ppm_langid,
     "op6_warc_dictionary": op6_warc_dictionary,
     "op7_nnls_packing": op7_nnls_packing,
+    "op8_label_propagation": op8_label_propagation,
     "op9_simhash_trie": op9_simhash_trie,
     "op10_maxscore": op10_maxscore,
 }
