@@ -127,7 +127,7 @@ def combinations(hist: np.ndarray, window: int, triples: int) -> np.ndarray:
     a = np.arange(1, window // 2 + 1)
     pairs = np.stack([a, window - a, np.zeros_like(a)], axis=1)
     pairs = pairs[(hist[pairs[:, 0]] > 0) & (hist[pairs[:, 1]] > 0)]
-    have = np.flatnonzero(hist)
+    have = 1 + np.flatnonzero(hist[1:])
     x, y = np.meshgrid(have, have, indexing="ij")
     z = window - x - y
     ok = (x <= y) & (y <= z)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import maxscore, packing, ppm_langid, sharding, simhash_trie, warc
+from txnlake.llm import maxscore, packing, ppm_langid, sharding, simhash_trie, toxicity_mil, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,14 @@ def op3_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    model = toxicity_mil.train(docs, _table(spark, sf_dir, "labels").where(~held_out))
+    found = toxicity_mil.predict(docs, model, keep=(held_out.alias("held_out"),))
+    return found.select("doc_id", "held_out", "score", "predicted", F.to_json("sentences").alias("sentences"))
+
+
 def op6_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.round_trip(_table(spark, sf_dir, "pages"))
     return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -54,6 +62,7 @@ def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ppm_langid": op3_ppm_langid,
+    "op5_toxicity_mil": op5_toxicity_mil,
     "op6_warc_dictionary": op6_warc_dictionary,
     "op7_nnls_packing": op7_nnls_packing,
     "op8_label_propagation": op8_label_propagation,
