@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 ENDS = (".", "!", "?")
 EDGES = re.compile(r"^\W+|\W+$")
 PIECES = re.compile(r"\n|\S+")
-SIZE = 1 << 18
+SIZE = 1 << 30  # so wide that words rarely share a feature with one that counts
 MARK = 1e6  # added to the weight of a token that ends a sentence
 CACHE_ENTRIES = 400_000
 
@@ -137,17 +137,30 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     return [(a, b.values.to_numpy(), c.values.to_numpy()) for a, b, c in zip(y, table.column("f"), table.column("s"))]
 
 
-def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = 60, rate: float = 0.3, l1: float = 2e-4, least_docs: int = 5) -> Model:
-    """Noisy-or loss minimised by Adam with soft thresholds; features of fewer than least_docs documents are left out."""
+def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = 200, rate: float = 0.3, l1: float = 1e-3, least_count: int = 4, least_evidence: float = 16.0) -> Model:
+    """Noisy-or loss minimised by Adam with soft thresholds.
+
+    Features need least_count different sentences of toxic documents and a likelihood-ratio statistic of least_evidence against chance.
+    """
     y = np.array([b[0] for b in bags])
     if not len(y) or y.min() == y.max():
         return Model(-12.0, {})
-    own = [np.unique(b[1]) for b in bags]
-    df = [np.bincount(np.concatenate([o for o, t in zip(own, y) if t == c] or [[]]).astype(np.int64), minlength=SIZE) for c in (0, 1)]
-    n = [int((y == c).sum()) for c in (0, 1)]
+    names = np.unique(np.concatenate([b[1] for b in bags]))
+    bags = [(y_, np.searchsorted(names, f), s) for y_, f, s in bags]
+    # in how many different sentences of each class a feature stands: copies of a document are no further evidence
+    found: list[set] = [set(), set()]
+    for label, feats, starts in bags:
+        for part in np.split(feats, starts[1:]):
+            found[label].add(np.unique(part).tobytes())
+    both = [[np.frombuffer(x, feats.dtype) for x in f] for f in found]
+    df = [np.bincount(np.concatenate([*f, feats[:0]]).astype(np.int64), minlength=len(names)) for f in both]
+    n = [max(1, len(f)) for f in both]
     odds = np.log((df[1] + 0.5) / (n[1] + 1)) - np.log((df[0] + 0.5) / (n[0] + 1))
-    use = np.flatnonzero((df[0] + df[1] >= least_docs) & (odds > 0.7))
-    slot = np.full(SIZE, -1)
+    share = (df[0] + df[1]) / sum(n)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        evidence = sum(np.where(d > 0, d * np.log(d / (share * k)), 0.0) for d, k in zip(df, n))
+    use = np.flatnonzero((df[1] >= least_count) & (odds > 1) & (2 * evidence > least_evidence))
+    slot = np.full(len(names), -1)
     slot[use] = np.arange(len(use))
     # entries (sentence, feature) of the features in use; sentences of all bags in a row
     count = np.array([len(b[2]) for b in bags])
@@ -176,7 +189,7 @@ def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = 60, rate:
         w -= step[:-1]
         w = np.sign(w) * np.maximum(np.abs(w) - rate * l1 * 10, 0)
         bias = float(np.clip(bias - step[-1], -12, 0))
-    return Model(bias, {int(use[i]): float(w[i]) for i in np.flatnonzero(w)})
+    return Model(bias, {int(names[use[i]]): float(w[i]) for i in np.flatnonzero(w)})
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_train: int = 3000, max_words: int = 4000) -> Model:
@@ -185,7 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[Column, ...] = (), least: float = 0.5) -> DataFrame:
     """(id_col, *keep, score, predicted, sentences): sentences with a probability of at least `least`, of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most SIZE weights
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # weights of what the bounded sample has
     names = [docs.select(c).columns[0] for c in keep]
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
