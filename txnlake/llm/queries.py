@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import maxscore, packing, ppm_langid, sharding, simhash_trie, toxicity_mil, warc
+from txnlake.llm import decontaminate, maxscore, packing, pii, ppm_langid, sharding, simhash_trie, toxicity_mil, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,22 @@ def _remainder(n: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", _of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    every = F.array_sort(F.concat("base", "added"))
+    return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(every).alias("spans"), F.size("added").alias("n_added"))
+
+
+def _of_kind(kind: str):
+    return lambda x: x["kind"] == kind
+
+
+def op2_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "distance", "start", "end")
+
+
 def op3_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(_remainder(4) == 2, F.lit(False))
@@ -61,6 +77,8 @@ def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
+    "op2_cgk_decontamination": op2_cgk_decontamination,
     "op3_ppm_langid": op3_ppm_langid,
     "op5_toxicity_mil": op5_toxicity_mil,
     "op6_warc_dictionary": op6_warc_dictionary,
