@@ -254,7 +254,8 @@ def indexes(items: DataFrame, item_id: str, text_col: str, similarity: float, re
 
 def annotated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", similarity: float = 0.8, recall: float = 0.95, min_words: int = 5, max_walks: int = 24, block: int = 20_000, only_clean: bool = False, name: str = "_leaks") -> DataFrame:
     """docs with a column of leaks; with only_clean, the rows without any, in the columns of docs."""
-    at = docs.columns.index(text_col)
+    columns = docs.columns
+    at = columns.index(text_col)
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
     out = docs
     for n, index in enumerate(indexes(items, item_id, item_text, similarity, recall, min_words, max_walks, block)):
@@ -277,8 +278,8 @@ def annotated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id
                 found = [[dict(zip(("item_id", "distance", "start", "end"), x)) for x in own] for own in leaks]
                 if n:
                     found = [a + b for a, b in zip(batch.column(batch.num_columns - 1).to_pylist(), found)]
-                cols = list(batch.columns)[: len(docs.columns)]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(found, kind)], names=[*docs.columns, name])
+                cols = list(batch.columns)[: len(columns)]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(found, kind)], names=[*columns, name])
 
         schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
         out = out.mapInArrow(run, schema if only_clean else f"{schema}, `{name}` {LEAK}")

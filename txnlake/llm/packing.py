@@ -11,8 +11,8 @@ A tail finds its place by its rank within its length alone. Ranks come from a ra
 place is written down (partition and position), plus one offset for each partition; no length is ever gathered in one task. Of a
 cut tail, only the two checksums need its tokens again: those few texts are joined back.
 
-Ids: the text is split before each single space that has non-space on both sides; byte-level BPE splits there as well, so the ids
-of the parts, which a worker keeps in a bounded cache, are those of the text. Texts with special token strings are encoded whole.
+Ids: the tokenizer's model is asked once for each piece that the byte-level split makes; a worker keeps pieces, and words between
+single spaces (where byte-level BPE splits as well), in bounded caches. Texts with special token strings are encoded whole.
 
 Rows: null text is empty, so only the end id is left; repeated rows are packed one by one; rows with a null id keep it. An empty
 table gives no rows. Columns other than id and text are ignored.
@@ -21,7 +21,6 @@ table gives no rows. Columns other than id and text are ignored.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 
 import numpy as np
@@ -32,52 +31,92 @@ from pyspark.sql import functions as F
 from txnlake.llm.store import written
 
 END_ID = 1
-BREAK = re.compile(r"(?<=\S) (?=\S)")
-CACHE_ENTRIES = 500_000
+#: Fixed value: how byte-level BPE splits a text before its merges.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PROBE = "It's  a probe,\n\n 12 of\tthem\x1c \u3000é—ß!? x\u00a0y 'll  "
+PIECES_KEPT, WORDS_KEPT = 700_000, 400_000
 _tokenizers: dict[str, "Ids"] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level BPE: printable Latin-1 for itself, the others from U+0100 on in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class _Loose(Exception):
+    """A part of a text with white space at an end: its split depends on its neighbours."""
+
+
+class _Words(dict):
+    """Ids of what stands between a single space and the next, learned when first asked for."""
+
+    def __init__(self, piece, split):
+        self.piece, self.split = piece, split
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isalpha():
+            ids = self.piece(" " + word)
+        elif not word or word[0].isspace() or word[-1].isspace():
+            raise _Loose
+        elif word[-1] in ",." and word[:-1].isalpha():
+            ids = self.piece(" " + word[:-1]) + self.piece(word[-1])
+        else:
+            ids = b"".join(map(self.piece, self.split(" " + word)))
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        self[word] = ids
+        return ids
+
+
+class _Pieces(dict):
+    """Ids of the pieces that the merges work on."""
+
+    def __init__(self, model):
+        self.model, self.letters = model, _byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        tokens = self.model.tokenize(piece.encode("utf-8").decode("latin-1").translate(self.letters))
+        ids = np.array([t.id for t in tokens], "<u4").tobytes()
+        if len(self) >= PIECES_KEPT:
+            self.clear()
+        self[piece] = ids
+        return ids
+
+
 class Ids:
     """Token ids of texts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.after: dict[str, bytes] = {}  # of a part that follows a space
-        self.other: dict[str, bytes] = {}  # of a part without
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, cache: dict[str, bytes], parts: set[str], lead: str) -> None:
-        parts = list(parts)
-        for i in range(0, len(parts), 20_000):
-            part = parts[i : i + 20_000]
-            cache.update(zip(part, self._encode([lead + p for p in part])))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if any(s in t for s in self.special) else t.split(" ") for t in texts]
-        loose = {i for i, p in enumerate(split) if p and len(p) > 1 and p[0][-1:].isspace()}
-        missing = set().union(*(p[1:] for p in split if p)) - self.after.keys()
-        # parts with space at an end are never kept in the cache, so they are seen here each time
-        odd = {p for p in missing if not p or p[0].isspace() or p[-1].isspace()}
-        loose |= {i for i, p in enumerate(split) if odd and p and not odd.isdisjoint(p[1:])}
-        for i in loose:
-            split[i] = BREAK.split(texts[i])
-        need = set().union(*(p[1:] for p in split if p)) if loose or len(self.after) + len(missing) > CACHE_ENTRIES else missing
-        if len(self.after) + len(need) > CACHE_ENTRIES:
-            self.after.clear()
-        self._learn(self.after, need - self.after.keys(), " ")
-        heads = {p[0] for p in split if p}
-        if len(self.other) + len(heads) > CACHE_ENTRIES // 10:
-            self.other.clear()
-        self._learn(self.other, heads - self.other.keys(), "")
-        whole = iter(self._encode([t for t, p in zip(texts, split) if p is None]))
-        get = self.after.__getitem__
-        return [next(whole) if p is None else self.other[p[0]] + b"".join(map(get, p[1:])) for p in split]
+        self.split = regex.compile(SPLIT).findall
+        self.pieces = _Pieces(self.tokenizer.model)
+        self.words = _Words(self.pieces.__getitem__, self.split)
+        # a tokenizer of another kind encodes whole texts
+        self.by_words = self._whole(PROBE) == self._by_words(PROBE)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _by_words(self, text: str) -> bytes:
+        first, *rest = text.split(" ")
+        try:
+            if rest and first[-1:].isspace():
+                raise _Loose
+            return b"".join([*map(self.pieces.__getitem__, self.split(first)), *map(self.words.__getitem__, rest)])
+        except _Loose:
+            return b"".join(map(self.pieces.__getitem__, self.split(text)))
+
+    def encode(self, text: str) -> bytes:
+        if not self.by_words or any(s in text for s in self.special):
+            return self._whole(text)
+        return self._by_words(text)
 
 
 def ids_of(path: str) -> Ids:
@@ -86,18 +125,10 @@ def ids_of(path: str) -> Ids:
     return _tokenizers[path]
 
 
-def _encoded(batch_texts: list, path: str, most: int = 2_000_000):
-    """Bytes of ids with the end id for each text, in pieces of about `most` characters."""
+def _encoded(texts: list, path: str):
+    """Bytes of ids with the end id for each text."""
     ids, end = ids_of(path), np.array([END_ID], "<u4").tobytes()
-    held, size = [], 0
-    for t in batch_texts:
-        held.append(t or "")
-        size += len(held[-1])
-        if size >= most:
-            yield from (x + end for x in ids.encode(held))
-            held, size = [], 0
-    if held:
-        yield from (x + end for x in ids.encode(held))
+    return (ids.encode(t or "") + end for t in texts)
 
 
 def token_table(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, window: int) -> DataFrame:
@@ -209,7 +240,8 @@ def _segments(hist: np.ndarray, combos: np.ndarray, counts: np.ndarray, window:
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", window: int = 2048, triples: int = 8192, small: int = 50_000) -> DataFrame:
     """(id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset): one row for each piece."""
-    table = token_table(docs, tokenizer, id_col, text_col, window)
+    # written before the sort, which reads its input twice
+    table = written(token_table(docs, tokenizer, id_col, text_col, window), "encoded")
     order = ["rest", id_col, "key"]
     table = written(table.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id()), "tokens")
     stats = table.groupBy(F.shiftright("place", 33).alias("part")).agg(F.count("*").alias("n"), F.max(F.size("full")).alias("most"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import decontaminate, maxscore, packing, pii, ppm_langid, sharding, simhash_trie, toxicity_mil, warc
+from txnlake.llm import decontaminate, line_dedup, maxscore, packing, pii, ppm_langid, sharding, simhash_trie, toxicity_mil, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,11 @@ def op3_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.report(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("kept").cast("long").alias("n_kept"), F.array_join(F.col("kept").cast("array<string>"), ",").alias("kept_lines"))
+
+
 def op5_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_cgk_decontamination": op2_cgk_decontamination,
     "op3_ppm_langid": op3_ppm_langid,
+    "op4_line_dedup": op4_line_dedup,
     "op5_toxicity_mil": op5_toxicity_mil,
     "op6_warc_dictionary": op6_warc_dictionary,
     "op7_nnls_packing": op7_nnls_packing,

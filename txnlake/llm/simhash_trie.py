@@ -66,11 +66,11 @@ def _shingle_hashes(text: bytes | None, shingle: int, seed: int) -> list[int]:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(id_col, fp): the SimHash of each row's whole text as a signed long."""
+    """(id_col, key, fp): the SimHash of each row's whole text as a signed long; key tells texts apart."""
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(2).to_pylist()
             hashes, counts, out, held = [], [], [], 0
             for t in texts:
                 h = _shingle_hashes(t, shingle, seed)
@@ -83,11 +83,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             if counts:
                 out.append(_majorities(np.concatenate(hashes), np.array(counts)))
             fp = np.concatenate(out) if out else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=[id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp.view(np.int64))], names=[id_col, "key", "fp"])
 
     kind = dict(docs.select(id_col).dtypes)[id_col]
-    rows = docs.select(F.col(id_col), F.col(text_col).cast("binary").alias("_text"))
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, fp long")
+    rows = docs.select(F.col(id_col), F.xxhash64(text_col).alias("key"), F.col(text_col).cast("binary").alias("_text"))
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, key long, fp long")
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
@@ -232,11 +232,33 @@ def links(fps: DataFrame, budget: int = 3, max_node: int = 2048, open_bits: int
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42, budget: int = 3, max_node: int = 2048) -> DataFrame:
-    """(id_col, fp, component): one row for each row of docs; component is the least id reachable over links."""
+    """(id_col, key, fp, component): one row for each row of docs; component is the least id reachable over links."""
     fp = written(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
     least = written(fp.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct")
     roots = components(links(least, budget, max_node), "a", "b").withColumnRenamed("node", "fp")
     of = least.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     top = of.groupBy("root").agg(F.min("least").alias("component"))
     of = of.join(top, "root").select("fp", "component")
-    return fp.join(of, "fp").select(id_col, "fp", "component")
+    return fp.join(of, "fp").select(id_col, "key", "fp", "component")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", small: int = 200_000, **options) -> DataFrame:
+    """The rows of docs without those that have a near duplicate with a lesser (id, hash of text).
+
+    A null id comes first. Of rows with equal id and text one stays. The rows to drop are broadcast where they are counted to be
+    few, otherwise joined by a shuffle.
+    """
+    fp = written(fingerprints(docs, id_col, text_col, options.get("shingle", 3), options.get("seed", 42)), "fingerprints")
+    place = F.struct(F.col(id_col).alias("id"), "key")
+    least = written(fp.groupBy("fp").agg(F.min(place).alias("least")), "distinct")
+    roots = components(links(least, options.get("budget", 3), options.get("max_node", 2048)), "a", "b").withColumnRenamed("node", "fp")
+    of = least.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    stay = of.groupBy("root").agg(F.min("least").alias("stay"))
+    of = of.join(stay, "root").select("fp", "stay")
+    gone = written(fp.join(of, "fp").where(~place.eqNullSafe(F.col("stay"))).select(F.col(id_col).alias("_id"), F.col("key").alias("_key")).distinct(), "gone")
+    few = gone.limit(small + 1).count() <= small
+    match = F.col(id_col).eqNullSafe(F.col("_id")) & F.xxhash64(text_col).eqNullSafe(F.col("_key"))
+    rest = docs.join(F.broadcast(gone) if few else gone, match, "left_anti")
+    if fp.groupBy(id_col, "key").count().where("count > 1").limit(1).count():
+        rest = rest.withColumn("_key", F.xxhash64(text_col)).dropDuplicates([id_col, "_key"]).drop("_key")
+    return rest

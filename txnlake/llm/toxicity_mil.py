@@ -227,3 +227,23 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col), *keep, F.col(text_col).alias("_text"))
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes[:-1])
     return rows.mapInArrow(run, f"{schema}, score double, predicted int, sentences array<struct<start: long, end: long, score: double>>")
+
+
+def harmless(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose score is below 0.5, in the columns of docs."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # weights of what the bounded sample has
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            keep, held, rows, size = [], [], [], 0
+            for i, t in enumerate(batch.column(at).to_pylist()):
+                held.append(_tokens(t))
+                rows.append(i)
+                size += len(held[-1])
+                if size > 400_000 or i == batch.num_rows - 1:
+                    keep += np.array(rows)[shared.value.scores(held)[0] < 0.5].tolist()
+                    held, rows, size = [], [], 0
+            yield batch.take(pa.array(keep, pa.int64()))
+
+    return docs.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in docs.dtypes))
