@@ -1,0 +1,115 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from txnlake.operators import anonymise, audit, enrich, merge
+from txnlake.plans.load import Loader
+from txnlake.plans.warehouse import Migrations, Warehouse
+from txnlake.streaming.ingest import ingest, spend_cube
+
+EXPORT = "date string, note string, type string, payee string, amount string, labels string, account string, category string, currency string, payment string"
+
+
+def export(spark, rows):
+    return spark.createDataFrame([(d, n, t, "p", a, "", "Cash", c, "EUR", "card") for d, n, t, a, c in rows], EXPORT)
+
+
+FIRST = [("2024-01-05", "a", "Expenses", "-10", "Groceries"), ("2024-01-06", "b", "Expenses", "-20", "Groceries"), ("2024-01-07", "c", "Income", "50", "Groceries"), ("2024-01-08", "w", "Income", "900", "Wage, invoices"), ("2024-01-08", "t", "Transfer", "1", "Transfer")]
+
+
+def test_full_then_incremental(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    with pytest.raises(RuntimeError, match="missing layers"):
+        w.preflight()
+    w.create()
+    w.preflight()
+    assert Loader(spark, w, lambda a, b: export(spark, FIRST), "full").run()
+    silver = w.read("silver.transactions")
+    assert silver.count() == 4 and w.read("gold.transaction_notability").count() == 2
+    kinds = {r.description: (r.income_type, r.category, r.classification) for r in silver.where("transaction_type = 'INCOME'").collect()}
+    assert kinds == {"c": ("REFUND", "Food & Drinks", None), "w": ("REAL", "Income", None)}
+    again = FIRST[:2] + [("2024-02-01", "n", "Expenses", "-70", "Groceries"), ("2024-02-01", "n", "Expenses", "-70", "Groceries")]
+    loader = Loader(spark, w, lambda a, b: export(spark, again))
+    assert loader.run() and loader.counts["rows_silver"] == 1 and loader.counts["rows_skipped"] == 3
+    assert w.read("silver.transactions").count() == 5 and w.read("bronze.transactions_raw").count() == 8 and w.read("staging.raw_transactions").count() == 4
+    assert w.read("gold.transaction_save_potential").count() == 3
+    before = w.read("silver.transactions").count()
+    assert Loader(spark, w, lambda a, b: export(spark, again)).run() and w.read("silver.transactions").count() == before  # replay
+    assert Loader(spark, w, lambda a, b: export(spark, [])).run()
+    with pytest.raises(ValueError, match="several rows"):
+        Loader(spark, w, lambda a, b: export(spark, again), strict=True).run()
+    assert [r.status for r in w.runs().orderBy("started_at").collect()] == ["SUCCESS"] * 4 + ["FAILED"]
+
+
+def test_streaming_ingest(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    w.create()
+    for n in range(2):  # the second file repeats the first
+        export(spark, FIRST).coalesce(1).write.mode("append").csv(str(tmp_path / "in"), header=True)
+        ingest(spark, str(tmp_path / "in"), w, str(tmp_path / "cp")).awaitTermination()
+        assert w.read("silver.transactions").count() == 4
+    assert spend_cube(w.read("silver.transactions")).where("level = 3").first().n == 4
+
+
+def test_upsert(spark):
+    target = spark.createDataFrame([("a", 1.0, None), ("b", 2.0, "{}")], "transaction_hash string, v double, extra_stats string")
+    source = spark.createDataFrame([("b", {"k": "1"}), ("c", {})], "transaction_hash string, extra_stats map<string,string>")
+    got = {tuple(r) for r in merge.upserted(target, source, json_columns=("extra_stats",)).collect()}
+    assert got == {("a", 1.0, None), ("b", None, '{"k":"1"}'), ("c", None, "{}")}
+
+
+def test_audit(spark):
+    kind = "transaction_hash string, x string, y int, z double"
+    before = spark.createDataFrame([("a", "p", 1, 1.0), ("b", None, 2, 2.0), ("c", "q", 3, None), ("d", "r", 4, 4.0)], kind)
+    after = spark.createDataFrame([("a", "P", 1, 1.0), ("b", "n", 20, 2.5), ("c", "q", 3, None), ("new", "s", 5, 5.0)], kind)
+    got = {r.transaction_hash: r for r in audit.audit_diff(before, after, reason="fix").collect()}
+    assert set(got) == {"a", "b", "d"}
+    assert (got["a"].changed_fields, got["a"].old_values, got["a"].new_values) == (["x"], {"x": "p"}, {"x": "P"})
+    assert set(got["b"].changed_fields) == {"x", "y", "z"} and got["b"].old_values["x"] is None
+    assert (got["d"].operation, got["d"].changed_fields, got["d"].new_values) == ("DELETE", None, None) and got["d"].old_values["transaction_hash"] == "d"
+    assert got["a"].actor and got["a"].reason == "fix"
+    assert audit.audit_diff(before, after, suppressed=True).count() == 0
+
+
+def test_preset(spark):
+    df = spark.createDataFrame([(1, " A ", dt.date(2025, 1, 1)), (2, "A", dt.date(2025, 2, 2)), (3, "A", None), (4, "B", None), (5, "C", dt.date(2025, 1, 1)), (6, None, None)], "id int, account string, date date")
+    preset = {"allowed_accounts": ["A", "B"], "account_end_dates": {"A": "2025-01-01"}}
+    assert {r.id for r in enrich.preset_filter(df, preset).collect()} == {1, 4}
+    assert enrich.preset_filter(df, None).count() == 6
+    assert {tuple(r) for r in enrich.unrecognised(df, preset).collect()} == {("C", 1)}
+
+
+def test_rank_alias(spark):
+    df = spark.createDataFrame([(1, "b"), (2, "b"), (3, "a"), (4, "c"), (5, " "), (6, None), (7, "d")], "id int, v string")
+    got = {r.id: r.v for r in anonymise.rank_alias(df, "v", "X", 3).collect()}
+    assert got == {1: "X #1", 2: "X #1", 3: "X #2", 4: "X #3", 5: None, 6: None, 7: "X #other"}
+
+
+def test_flags_and_suggestions(spark):
+    rows = [("Transfer", "EXPENSE"), ("Aliments", "INCOME"), ("Groceriess", "INCOME"), ("Groceries", "INCOME"), ("Groceries", "EXPENSE")]
+    df = spark.createDataFrame(rows, "subcategory string, transaction_type string")
+    got = {(r.subcategory, r.transaction_type): (r.flags, r.is_error) for r in enrich.flagged(df, enrich.mapping(spark)).collect()}
+    assert got == {("Transfer", "EXPENSE"): ("TRANSFER", False), ("Aliments", "INCOME"): ("ALIMENTS_INCOME", False), ("Groceriess", "INCOME"): ("UNMAPPED_SUBCAT,INCOME_UNMAPPED_REAL", True), ("Groceries", "INCOME"): ("INCOME_NON_INCOME_REFUND", False), ("Groceries", "EXPENSE"): ("", False)}
+    assert [tuple(r) for r in enrich.suggestions(df, enrich.mapping(spark)).collect()] == [("Groceriess", "Groceries")]
+
+
+def test_mapping_has_82_unique_rows(spark):
+    m = enrich.mapping(spark)
+    assert m.count() == 82 == m.select("subcategory").distinct().count()
+    assert {r[0] for r in m.select("classification").distinct().collect()} == {"NEED", "WANT", "MUST", None}
+
+
+def test_migrations(spark, tmp_path):
+    f = tmp_path / "m"
+    f.mkdir()
+    (f / "001_first.sql").write_text("SELECT 1; SELECT 2")
+    m = Migrations(str(f), str(tmp_path / "ledger.json"))
+    assert m.run(spark, dry_run=True) == ["001_first.sql"] and m.status() == [("001_first.sql", "pending")]
+    assert m.run(spark) == ["001_first.sql"] and m.run(spark) == [] and m.status() == [("001_first.sql", "applied")]
+    (f / "001_first.sql").write_text("SELECT 3")
+    with pytest.raises(RuntimeError, match="edited"):
+        m.run(spark)
+    (f / "bad.sql").write_text("")
+    with pytest.raises(RuntimeError, match="NNN"):
+        m.files()
