@@ -2,10 +2,12 @@
 
 1. Lines are lower-cased and reduced to letters, digits and single spaces. Lines of fewer than ``min_words`` words are never dropped.
 2. Equal normalised lines become one (told apart by two 64-bit hashes), represented by their first occurrence.
-3. Each gets a 64-bit SimHash of its words. Byte-wide counters in eight longs add up the bits of up to 127 words at a time.
+3. Each gets a 64-bit SimHash of its different words. Byte-wide counters in eight longs add up the bits of up to CHUNK words at a time.
 4. Pairs within ``budget`` differing bits agree on all but ``budget`` of b blocks. They are joined on each choice of b - budget
    blocks, and only under the first choice that fits, so none comes twice. b grows with the number of distinct lines so that the
-   lines that share a key by chance stay few; every b finds the same pairs.
+   lines that share a key by chance stay few; every b finds the same pairs. Variants of one line are many and all alike, so lines
+   next to each other in sorted order are linked and grouped first, and the join leaves out pairs of one group: they can't change
+   what is connected, and the pairs of a group of n variants are not all made.
 5. A pair is linked if the edit similarity of its normalised lines is at least ``similarity``: by characters, or for lines over
    ``long_line`` characters by words (each word as one code point of its hash).
 6. Of each connected group the first occurrence stays: the least (id, hash of text, line number).
@@ -13,6 +15,8 @@
 Only lines in candidate pairs have their text joined; it is filtered by a broadcast of their hashes where they are counted to be
 few, otherwise by a shuffled join.
 
+A pair is named by the lines' first hash; lines that shared it by accident would be compared too, each by its own text.
+
 Rows: null text counts as empty and has one empty line; a null id sorts first; rows with equal id and text are one document and
 share its decisions; ties go by the order above. Ids are longs. An empty table gives no rows. Columns other than id and text are
 ignored (kept_lines) or passed on (deduplicated).
@@ -23,7 +27,7 @@ from __future__ import annotations
 import itertools
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnlake.llm.components import components
@@ -31,6 +35,7 @@ from txnlake.llm.store import written
 
 LANES = 0x0101010101010101
 WIDE = 0x0001000100010001
+CHUNK = 127
 NO_ID = -(1 << 63)
 
 
@@ -42,60 +47,82 @@ def _long(n: int) -> str:
     return f"{n - (1 << 64)}L" if n >= 1 << 63 else f"{n}L"
 
 
-def counters(hashes: str, words: str) -> Column:
-    """For up to 127 longs in the array column `hashes`: eight longs of eight byte-wide counters, the k-th of the bits k, k + 8, ..."""
-    add = [f"aggregate({hashes}, 0L, (acc, x) -> acc + (shiftrightunsigned(x, {k}) & {LANES}L))" for k in range(8)]
-    return F.expr(f"case when {words} <= 127 then array({', '.join(add)}) end")
-
-
-def simhash(counts: str, hashes: str, words: str) -> Column:
-    """Bitwise majority of the longs in `hashes`, whose number is `words` and counters are `counts`; 0 for none."""
-    # a counter exceeds half exactly if adding 127 - words div 2 sets its top bit
-    half = lambda k, by: f"shiftrightunsigned(((shiftrightunsigned({counts}[{k}], {by}) & {WIDE * 255}L) + (127 - {words} div 2) * {WIDE}L) & {WIDE * 128}L, 7)"
-    few = " | ".join(f"shiftleft({half(k, 0)} | shiftleft({half(k, 8)}, 8), {k})" for k in range(8))
-    parts = f"transform(sequence(0, ({words} - 1) div 127), i -> slice({hashes}, i * 127 + 1, 127))"
-    votes = lambda b: f"aggregate({parts}, 0L, (n, p) -> n + aggregate(p, 0L, (acc, x) -> acc + (shiftrightunsigned(x, {b}) & 1L)))"
-    many = " | ".join(f"if(2 * {votes(b)} > {words}, {_long(1 << b)}, 0L)" for b in range(64))
-    return F.expr(f"case when {words} = 0 then 0L when {words} <= 127 then {few} else {many} end")
-
-
 def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(d, t, line, words, h1, h2, fp, norm): a row for each line; d and t tell documents apart."""
+    """(d, t, line, row, words, h1, h2, norm): a row for each line; d and t tell documents apart, row every row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("d"), F.xxhash64(text).alias("t"), F.posexplode(F.split(text, "\n")).alias("line", "raw"))
     rows = rows.select("d", "t", "line", normalised(F.col("raw")).alias("norm"))
-    rows = rows.withColumn("hashes", F.transform(F.filter(F.split("norm", " "), lambda w: w != ""), lambda w: F.xxhash64(w))).withColumn("words", F.size("hashes"))
-    rows = rows.withColumn("counts", counters("hashes", "words"))
-    return rows.select("d", "t", "line", "words", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"), simhash("counts", "hashes", "words").alias("fp"), "norm")
+    words = F.when(F.col("norm") == "", 0).otherwise(F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) + 1)
+    return rows.select("d", "t", "line", F.monotonically_increasing_id().alias("row"), words.alias("words"), F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"), "norm")
+
+
+def simhashes(lines: DataFrame) -> DataFrame:
+    """(d, t, line, h1, h2, fp): the bitwise majority of the hashes of a line's different words.
+
+    Words are exploded and summed in eight longs of eight byte-wide counters, the k-th of the bits k, k + 8, ..., for up to CHUNK words
+    of a line at a time; the sums are complete before the shuffle, as a line's words are in one task.
+    """
+    keys = ["d", "t", "line", "row", "h1", "h2"]
 
+    def summed(part: DataFrame) -> DataFrame:
+        w = part.select(*keys, F.posexplode(F.array_distinct(F.split("norm", " "))).alias("at", "word"))
+        w = w.select(*keys, F.expr(f"at div {CHUNK}").alias("chunk"), F.xxhash64("word").alias("h"))
+        return w.groupBy(*keys, "chunk").agg(F.count("*").alias("m"), *[F.sum(F.expr(f"shiftrightunsigned(h, {k}) & {LANES}L")).alias(f"l{k}") for k in range(8)])
 
-def blocks_for(lines: int, budget: int, crowd: int = 64) -> int:
-    """The least number of blocks at which about `crowd` of the lines, or fewer, share a key by chance."""
+    # a counter exceeds half exactly if adding 127 - m div 2 sets its top bit
+    half = lambda k, by: f"shiftrightunsigned(((shiftrightunsigned(l{k}, {by}) & {WIDE * 255}L) + (127 - m div 2) * {WIDE}L) & {WIDE * 128}L, 7)"
+    few = " | ".join(f"shiftleft({half(k, 0)} | shiftleft({half(k, 8)}, 8), {k})" for k in range(8))
+    short = summed(lines.where(F.col("words") <= CHUNK)).withColumn("fp", F.expr(few))
+    # longer lines: one row for each chunk, whose counters are taken apart and summed
+    votes = [F.sum(F.expr(f"shiftrightunsigned(l{b % 8}, {b - b % 8}) & 255L")).alias(f"v{b}") for b in range(64)]
+    long = summed(lines.where(F.col("words") > CHUNK)).groupBy(*keys).agg(F.sum("m").alias("m"), *votes)
+    bits = " | ".join(f"if(2 * v{b} > m, {_long(1 << b)}, 0L)" for b in range(64))
+    long = long.withColumn("fp", F.expr(bits))
+    own = ["d", "t", "line", "h1", "h2", "fp"]
+    return short.select(*own).unionByName(long.select(*own))
+
+
+def blocks_for(lines: int, budget: int, crowd: int = 64, spread: float = 0.6) -> int:
+    """The least number of blocks at which about `crowd` of the lines, or fewer, share a key by chance.
+
+    Frequent words are in most lines, so of a key's bits about the share `spread` tells lines apart.
+    """
     b = budget + 1
-    while b < budget + 5 and lines > crowd * 2 ** (64 * (b - budget) / b):
+    while b < budget + 6 and lines > crowd * 2 ** (spread * 64 * (b - budget) / b):
         b += 1
     return b
 
 
+def neighbour_pairs(lines: DataFrame, budget: int) -> DataFrame:
+    """(a, b): lines next to each other when sorted by fingerprint, from each block on in turn, within budget bits.
+
+    At most budget + 1 pairs for each line; groups of many variants are joined up by these.
+    """
+    width = 64 // (budget + 1)
+    turns = F.array(*[F.lit(r * width) for r in range(budget + 1)])
+    laid = lines.select("h1", "fp", F.explode(turns).alias("turn"))
+    laid = laid.withColumn("v", F.expr("if(turn = 0, fp, shiftleft(fp, turn) | shiftrightunsigned(fp, 64 - turn))")).withColumn("top", F.expr(f"shiftrightunsigned(v, {64 - width})"))
+    w = Window.partitionBy("turn", "top").orderBy("v", "h1")
+    near = F.bit_count(F.col("v").bitwiseXOR(F.lag("v").over(w))) <= budget
+    return laid.select(F.lag("h1").over(w).alias("a"), F.col("h1").alias("b"), near.alias("near")).where("near").select("a", "b").distinct()
+
+
 def candidate_pairs(lines: DataFrame, budget: int, blocks: int) -> DataFrame:
-    """(a1, a2, b1, b2): pairs of lines (h1, h2, fp) whose fingerprints differ in at most budget bits, each once."""
+    """(a, b): hashes h1 of lines of different groups (column g) whose fingerprints fp differ in at most budget bits, each pair once."""
     edges = [round(64 * i / blocks) for i in range(blocks + 1)]
     masks = [((1 << edges[i + 1]) - (1 << edges[i])) for i in range(blocks)]
     signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
     choices = list(itertools.combinations(range(blocks), blocks - budget))
     keys = F.array(*[F.col("fp").bitwiseAND(F.lit(reduce(lambda x, y: x | y, (signed[i] for i in c))).cast("long")) for c in choices])
-    laid = lines.select("h1", "h2", "fp", F.posexplode(keys).alias("choice", "key"))
-    a = laid.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("fp").alias("fa"), "choice", "key")
-    b = laid.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("fp").alias("fb"), "choice", "key")
-    differs = F.col("fa").bitwiseXOR(F.col("fb"))
+    laid = lines.select("h1", "fp", "g", F.posexplode(keys).alias("choice", "key"))
+    a, b = laid.alias("a"), laid.alias("b")
+    differs = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
     first = []
     for n, c in enumerate(choices):
         earlier = [i for i in range(max(c)) if i not in c]
         first.append(reduce(lambda x, y: x & y, (differs.bitwiseAND(F.lit(signed[i]).cast("long")) != 0 for i in earlier), F.col("a.choice") == n))
-    near = F.bit_count(differs) <= budget
-    order = (F.col("a1") < F.col("b1")) | ((F.col("a1") == F.col("b1")) & (F.col("a2") < F.col("b2")))
-    on = (F.col("a.choice") == F.col("b.choice")) & (F.col("a.key") == F.col("b.key")) & order & near & reduce(lambda x, y: x | y, first)
-    return a.alias("a").join(b.alias("b"), on).select("a1", "a2", "b1", "b2")
+    on = (F.col("a.choice") == F.col("b.choice")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.h1") < F.col("b.h1")) & (F.col("a.g") != F.col("b.g")) & (F.bit_count(differs) <= budget)
+    return a.join(b, on & reduce(lambda x, y: x | y, first)).select(F.col("a.h1").alias("a"), F.col("b.h1").alias("b"))
 
 
 def _symbols(norm: str) -> str:
@@ -111,25 +138,36 @@ def similar(similarity: float, long_line: int) -> Column:
     return F.expr(f"case when greatest(length(na), length(nb)) <= {long_line} then {within('na', 'nb')} else {within(_symbols('na'), _symbols('nb'))} end")
 
 
-def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5, budget: int = 3, similarity: float = 0.8, long_line: int = 1000, small: int = 200_000) -> DataFrame:
+def verified(pairs: DataFrame, lines: DataFrame, similarity: float, long_line: int, small: int) -> DataFrame:
+    """The pairs whose lines (h1, norm) are similar."""
+    members = written(pairs.select(F.col("a").alias("h1")).unionByName(pairs.select(F.col("b").alias("h1"))).distinct(), "members")
+    few = members.limit(small + 1).count() <= small
+    texts = lines.select("h1", "h2", "norm").join(F.broadcast(members) if few else members, "h1", "left_semi").groupBy("h1", "h2").agg(F.first("norm").alias("norm"))
+    texts = written(texts, "member_texts")
+    a = texts.select(F.col("h1").alias("a"), F.col("norm").alias("na"))
+    b = texts.select(F.col("h1").alias("b"), F.col("norm").alias("nb"))
+    return written(pairs.join(a, "a").join(b, "b").where(similar(similarity, long_line)).select("a", "b"), "linked")
+
+
+def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5, budget: int = 3, similarity: float = 0.8, long_line: int = 200, small: int = 200_000) -> DataFrame:
     """(d, t, kept): the sorted numbers of the lines that stay, for every document with any."""
     lines = written(line_table(docs, id_col, text_col), "lines")
     fit = lines.where(F.col("words") >= min_words)
-    first = fit.groupBy("h1", "h2").agg(F.min(F.struct("d", "t", "line")).alias("first"), F.min("fp").alias("fp"))
+    first = simhashes(fit).groupBy("h1", "h2").agg(F.min(F.struct("d", "t", "line")).alias("first"), F.min("fp").alias("fp"))
     first = written(first, "distinct_lines")
-    pairs = written(candidate_pairs(first, budget, blocks_for(first.count(), budget)), "pairs")
-    members = written(pairs.select(F.col("a1").alias("h1"), F.col("a2").alias("h2")).unionByName(pairs.select(F.col("b1").alias("h1"), F.col("b2").alias("h2"))).distinct(), "members")
-    few = members.limit(small + 1).count()
-    if few:
-        only = F.broadcast(members) if few <= small else members
-        texts = fit.select("h1", "h2", "norm").join(only, ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.first("norm").alias("norm"))
-        texts = texts.join(first.select("h1", "h2", "first"), ["h1", "h2"])
-        texts = written(texts, "member_texts")
-        a = texts.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("norm").alias("na"), F.col("first").alias("fa"))
-        b = texts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("norm").alias("nb"), F.col("first").alias("fb"))
-        linked = pairs.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).where(similar(similarity, long_line)).select("fa", "fb")
-        gone = components(linked, "fa", "fb").where("node <> root").select(F.col("node").alias("first"))
-        first = first.join(gone, "first", "left_anti")
+    # variants of one line are first joined up by neighbours; then only pairs of different groups are left to find
+    linked = verified(written(neighbour_pairs(first, budget), "neighbours"), fit, similarity, long_line, small)
+    groups = written(components(linked, "a", "b"), "groups").withColumnsRenamed({"node": "h1", "root": "g"})
+    known = first.select("h1", "fp").join(groups, "h1", "left").select("h1", "fp", F.coalesce("g", "h1").alias("g"))
+    pairs = written(candidate_pairs(known, budget, blocks_for(first.count(), budget)), "pairs")
+    if not pairs.isEmpty():
+        linked = linked.unionByName(verified(pairs, fit, similarity, long_line, small))
+        groups = components(linked, "a", "b").withColumnsRenamed({"node": "h1", "root": "g"})
+    # of a group the first occurrence stays
+    placed = groups.join(first.select("h1", "first"), "h1")
+    best = placed.groupBy("g").agg(F.min("first").alias("best"))
+    gone = placed.join(best, "g").where(F.col("first") != F.col("best")).select("first")
+    first = first.join(gone, "first", "left_anti")
     stay = first.select("first.d", "first.t", "first.line").unionByName(lines.where(F.col("words") < min_words).select("d", "t", "line"))
     return stay.groupBy("d", "t").agg(F.sort_array(F.collect_set("line")).alias("kept"))
 
