@@ -4,7 +4,9 @@ Links are those between rows of equal text. A group of equal texts is a hub that
 counted for each shard, never paired. Rows start in hashed shards. In each round a Spark join brings every group's counts to the
 shards where it has rows; rows move towards the shard that holds most of their neighbours. Quotas: what enters a shard must fit
 in its free room and what leaves it; the moves between two shards that do not all fit are taken by gain (in powers of two), the
-last level by hash. The statistics that the driver decides on have shards**2 * 64 rows at most.
+last level by hash. Where a shard is full, small groups that are whole in it
+leave it, which cuts nothing, in exchange for rows that gain by coming. The statistics that the driver decides on have
+shards**2 * 64 rows at most.
 
 A round's table has a row for each (group, shard), not for each row, so a group that holds a third of all rows is at most
 ``shards`` rows. A row takes its place in its group's split by the hash of its id. At the end counts are made exact: in each shard
@@ -40,12 +42,18 @@ def quotas(want: np.ndarray, room: np.ndarray, rounds: int = 30) -> np.ndarray:
     return take
 
 
-def _accept(stats: list, room: np.ndarray, shards: int) -> dict[tuple[int, int], tuple[int, float]]:
-    """For (from, to): the level of gain above which all moves are taken, and the share taken at that level."""
+def _accept(stats: list, room: np.ndarray, spare: np.ndarray, shards: int) -> tuple[dict[tuple[int, int], tuple[int, float]], np.ndarray]:
+    """For (from, to): the level of gain above which all moves are taken, and the share taken at that level.
+
+    Then, for (from, to), the share of the spare rows in `from` that leave in exchange for rows which found no room there.
+    """
     want = np.zeros((shards, shards))
     for r in stats:
         want[r.shard, r.to] += r.n
     take, out = quotas(want, room), {}
+    unmet = np.maximum(want - take, 0)
+    swap = unmet * np.minimum(1.0, spare / np.maximum(unmet.sum(axis=0), 1e-9))
+    take += swap
     for i in range(shards):
         for j in range(shards):
             left, levels = take[i, j], sorted((r for r in stats if (r.shard, r.to) == (i, j)), key=lambda r: -r.level)
@@ -54,7 +62,7 @@ def _accept(stats: list, room: np.ndarray, shards: int) -> dict[tuple[int, int],
                     break
                 out[i, j] = (r.level, min(1.0, left / r.n))
                 left -= r.n
-    return out
+    return out, swap.T / np.maximum(spare, 1e-9)[:, None]
 
 
 def _pick(pairs: list[tuple[Column, object]], default: object) -> Column:
@@ -77,16 +85,23 @@ def propagate(split: DataFrame, rows: int, shards: int, rounds: int) -> DataFram
         room = capacity - load
         opened = F.array(*[F.lit(bool(x > 0.001 * capacity)) for x in room])
         place = F.struct("n", F.xxhash64("g", "shard").alias("tie"), "shard")
-        best = split.groupBy("g").agg(F.max(place).alias("any"), F.max(F.when(opened[F.col("shard")], place)).alias("open"))
-        moves = split.join(best, "g")
+        best = split.groupBy("g").agg(F.sum("n").alias("total"), F.max(place).alias("any"), F.max(F.when(opened[F.col("shard")], place)).alias("open"))
+        scored = split.join(best, "g")
         # the fullest neighbouring shard while it has room, else the fullest that has; swaps only where none has
         goal = F.when(opened[F.col("any.shard")], F.col("any")).otherwise(F.coalesce("open", "any"))
-        moves = moves.withColumn("goal", goal).withColumn("to", F.col("goal.shard")).where(F.col("to") != F.col("shard"))
+        scored = scored.withColumn("goal", goal)
         ahead = (F.col("goal.n") > F.col("n")) | ((F.col("goal.n") == F.col("n")) & (F.col("goal.tie") > F.xxhash64("g", "shard")))
-        moves = moves.where(ahead).select("g", "shard", "to", "n", F.floor(F.log2(F.col("goal.n").cast("double"))).cast("int").alias("level"))
-        moves = written(moves, "moves")
-        stats = moves.groupBy("shard", "to", "level").agg(F.sum("n").alias("n")).collect()  # shards**2 * 64 rows at most
-        taken = _accept(stats, room, shards)
+        to = F.when((F.col("goal.shard") != F.col("shard")) & ahead, F.col("goal.shard"))
+        level = F.floor(F.log2(F.col("goal.n").cast("double"))).cast("int")
+        scored = scored.select("g", "shard", "n", to.alias("to"), level.alias("level"), (F.col("n") == F.col("total")).alias("whole"))
+        # a small group that is whole in a shard may leave it without a cut, to make room for rows that gain by coming
+        free = F.col("to").isNull() & F.col("whole") & (F.col("n") <= max(2.0, capacity / 64))
+        scored = written(scored.withColumn("free", free).where("to IS NOT NULL OR free"), "moves")
+        stats = scored.where("to IS NOT NULL").groupBy("shard", "to", "level").agg(F.sum("n").alias("n")).collect()  # shards**2 * 64 rows at most
+        spare = np.zeros(shards)
+        for r in scored.where("free").groupBy("shard").agg(F.sum("n").alias("n")).collect():
+            spare[r.shard] = r.n
+        taken, leaving = _accept(stats, room, spare, shards)
         if not taken:
             break
         at = lambda i, j: (F.col("shard") == i) & (F.col("to") == j)
@@ -94,7 +109,11 @@ def propagate(split: DataFrame, rows: int, shards: int, rounds: int) -> DataFram
         share = _pick([(at(i, j), v[1]) for (i, j), v in taken.items()], 0.0)
         part = F.when(F.col("level") >= WHOLE_GROUPS_BELOW, F.floor(F.col("n") * share).cast("long")).otherwise(F.when(_unit("g", F.lit(k)) < share, F.col("n")).otherwise(F.lit(0)))
         n = F.when(F.col("level") > least, F.col("n")).when(F.col("level") < least, F.lit(0)).otherwise(part).cast("long")
-        moved = moves.select("g", "shard", "to", n.alias("n")).where("n > 0")
+        moved = scored.where("to IS NOT NULL").select("g", "shard", "to", n.alias("n")).where("n > 0")
+        if leaving.any():
+            ends = np.cumsum(leaving, axis=1)
+            place = _pick([((F.col("shard") == i) & (_unit("g", F.lit(100 + k)) < float(ends[i, j])), j) for i in range(shards) for j in range(shards) if leaving[i, j] > 0], -1)
+            moved = moved.unionByName(scored.where("free").select("g", "shard", place.alias("to"), "n").where("to >= 0"))
         change = split.select("g", "shard", "n").unionByName(moved.select("g", "shard", (-F.col("n")).alias("n"))).unionByName(moved.select("g", F.col("to").alias("shard"), "n"))
         split = written(change.groupBy("g", "shard").agg(F.sum("n").alias("n")).where("n > 0"), "split")
     return split
