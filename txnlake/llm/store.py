@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_known: set[str] = set()
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; set to a local one only where it is unset."""
@@ -25,7 +27,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/txnlake/{name}-{uuid.uuid4().hex}"
+    """A folder of this application's own; all of them are deleted when its JVM ends."""
+    top = f"{shared_dir(spark)}/txnlake/{spark.sparkContext.applicationId}"
+    if top not in _known:
+        _known.add(top)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(top)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{top}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -34,10 +44,3 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder of the shared store that no later step reads."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
