@@ -5,7 +5,7 @@ sentences, 1 - prod(1 - p). Weights are fitted to document labels by the gradien
 so blame settles on the sentences that set toxic documents apart, and those are reported with their places.
 
 The classifier is fitted on at most ``max_train`` labelled documents for each class, chosen by a hash of the id, of which at most the
-first ``max_words`` words count; both bound what the driver holds. Scoring reads whole texts.
+first ``max_words`` words count; both bound the one task that fits it. Scoring reads whole texts.
 
 Sentences end at a line break or at a word that ends with . ! or ?. Words are split at white space, lower-cased and stripped of
 punctuation.
@@ -32,6 +32,7 @@ PIECES = re.compile(r"\n|\S+")
 SIZE = 1 << 30  # so wide that words rarely share a feature with one that counts
 MARK = 1e6  # added to the weight of a token that ends a sentence
 CACHE_ENTRIES = 400_000
+NO_BIAS = -12.0
 
 
 def features(token: str) -> list[int]:
@@ -110,8 +111,8 @@ class Model:
         return out
 
 
-def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_train: int, max_words: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """(label, features, sentence starts) of the chosen documents; the driver's share is bounded by max_train and max_words."""
+def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_train: int, max_words: int) -> DataFrame:
+    """(id, y, f, s): label, features and sentence starts of the chosen documents, bounded by max_train and max_words."""
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_y"))
     parts = [known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(max_train) for y in (0, 1)]
     rows = docs.join(F.broadcast(parts[0].unionByName(parts[1])), F.col(id_col) == F.col("_id")).select("_id", "_y", F.col(text_col).alias("_text"))
@@ -132,9 +133,7 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(feats, kind), pa.array(starts, kind)], names=["id", "y", "f", "s"])
 
     kind = dict(rows.dtypes)["_id"]
-    table = rows.mapInArrow(run, f"id {kind}, y int, f array<int>, s array<int>").toArrow().combine_chunks().sort_by([("id", "ascending")])
-    y = table.column("y").to_pylist()
-    return [(a, b.values.to_numpy(), c.values.to_numpy()) for a, b, c in zip(y, table.column("f"), table.column("s"))]
+    return rows.mapInArrow(run, f"id {kind}, y int, f array<int>, s array<int>")
 
 
 def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = 200, rate: float = 0.3, l1: float = 1e-3, least_count: int = 4, least_evidence: float = 16.0) -> Model:
@@ -144,7 +143,7 @@ def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = 200, rate:
     """
     y = np.array([b[0] for b in bags])
     if not len(y) or y.min() == y.max():
-        return Model(-12.0, {})
+        return Model(NO_BIAS, {})
     names = np.unique(np.concatenate([b[1] for b in bags]))
     bags = [(y_, np.searchsorted(names, f), s) for y_, f, s in bags]
     # in how many different sentences of each class a feature stands: copies of a document are no further evidence
@@ -193,7 +192,20 @@ def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = 200, rate:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_train: int = 3000, max_words: int = 4000) -> Model:
-    return fit(sample(docs, labels, id_col, text_col, label_col, max_train, max_words))
+    """The model of a bounded sample, fitted in one task; the driver gets the weights alone."""
+
+    def run(batches):
+        parts = list(batches)
+        bags = []
+        if parts:
+            table = pa.Table.from_batches(parts).sort_by([("id", "ascending")])
+            bags = [(y.as_py(), f.values.to_numpy(), s.values.to_numpy()) for y, f, s in zip(table.column("y"), table.column("f"), table.column("s"))]
+        m = fit(bags)
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *m.weights], pa.int64()), pa.array([m.bias, *m.weights.values()], pa.float64())], names=["feature", "weight"])
+
+    rows = sample(docs, labels, id_col, text_col, label_col, max_train, max_words)
+    found = {r.feature: r.weight for r in rows.repartition(1).mapInArrow(run, "feature long, weight double").collect()}
+    return Model(found.pop(-1, NO_BIAS), found)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[Column, ...] = (), least: float = 0.5) -> DataFrame:
