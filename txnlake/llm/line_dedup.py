@@ -188,6 +188,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """docs with their texts reduced to the lines that stay; null texts stay null."""
     kept = kept_lines(docs, id_col, text_col, **options).select(F.col("d").alias("_d"), F.col("t").alias("_t"), F.col("kept").alias("_kept"))
     rows = _keyed(docs, id_col, text_col).join(kept, ["_d", "_t"], "left")
-    lines = F.split(F.col(text_col), "\n")
-    text = F.array_join(F.transform(F.coalesce("_kept", F.expr("cast(array() as array<int>)")), lambda i: lines[i]), "\n")
+    kept = F.coalesce("_kept", F.expr("cast(array() as array<int>)"))
+    # the outer lambda binds the lines, so that a text is split once and not for each line that stays
+    text = F.transform(F.array(F.split(F.col(text_col), "\n")), lambda lines: F.array_join(F.transform(kept, lambda i: lines[i]), "\n"))[0]
     return rows.withColumn(text_col, F.when(F.col(text_col).isNotNull(), text)).select(*docs.columns)
