@@ -3,12 +3,18 @@
 Items and documents are sequences of lower-case words. The CGK embedding copies a sequence while a random walk, driven by a hash of
 the step and the word, decides where to advance; sequences at a small edit distance get embeddings at a small Hamming distance.
 Bit-sampling then hashes a few coordinates of the embedding; windows of a document that share a hash with an item are candidates.
-The number of walks is set by trial: items are edited at ``1 - similarity`` of their words, and walks are added until the share of
-edited copies that share a hash with their item reaches ``recall`` (or ``max_walks``; ``Index.reached`` tells). A candidate is
-verified by its exact edit distance in words to the best stretch around the window (bit-parallel dynamic programming).
+The number of walks is set by trial: items are edited at ``1 - similarity`` of their words, spread out or gathered at either end, and
+walks are added until of each kind the share of edited copies that share a hash with their item reaches ``recall`` (or
+``max_walks``; ``Index.reached`` tells the least). A candidate is verified by the exact edit distance in words of the whole item to
+the best stretch around the window (bit-parallel dynamic programming).
 
-Windows start at every word. Before the walks those are left out that cannot match any item of a size class: a stretch within the
-budget k has at most k words that no item of the class has. That test is exact, so it costs no recall.
+Items are walked part by part: from the first word of each of q parts in a row, from the middle of each, and from the last place
+where a whole part is left. So every item is covered to its end, however long, and edits gathered in one place, or a document that
+opens or ends inside an item, leave other parts whole.
+
+Windows start at every word. Before the walks those are left out that cannot match a part: of q parts in a row one has at most the
+q-th share of the edits, and a stretch within k edits has at most k words that no item of the class has. One part at least passes
+that test, which is exact.
 
 Items are sent to the executors in blocks of at most ``block`` rows; documents are never joined or shuffled.
 
@@ -30,6 +36,8 @@ from pyspark.sql import functions as F
 
 WORD = re.compile(r"\w+")
 STEPS = 64
+PART = 15  # least words of a part where an item has several
+OFFSET = 24
 MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -75,6 +83,7 @@ def best_stretch(item: list[int], words: list[int]) -> tuple[int, int, int]:
 @dataclass
 class SizeClass:
     items: list[int]
+    size: int  # words of a part
     span: int  # words from a window's start that are looked at
     budget: int  # of those, so many may be unknown to the class
     steps: int
@@ -82,7 +91,7 @@ class SizeClass:
     turns: np.ndarray  # (walks, words): bit j says whether the walk advances at step j
     samples: list[np.ndarray]  # of each walk: (samples, coordinates), steps in order
     keys: np.ndarray
-    owner: np.ndarray
+    owner: np.ndarray  # item << OFFSET | the part's first word
     bitmap: np.ndarray
 
 
@@ -96,6 +105,7 @@ class Index:
         self.ids = [i for i, _ in kept]
         self.vocab = {w: n for n, w in enumerate(sorted({w for _, ws in kept for w in ws}), 1)}
         self.items = [[self.vocab[w] for w in ws] for _, ws in kept]
+        self.kinds = [frozenset(x) for x in self.items]
         self.classes: list[SizeClass] = []
         self.reached = 1.0
         todo = sorted(range(len(kept)), key=lambda i: len(self.items[i]))
@@ -112,42 +122,76 @@ class Index:
 
     def _class(self, own, rng, recall, max_walks, samples, coordinates, trials) -> SizeClass:
         least, most = len(self.items[own[0]]), len(self.items[own[-1]])
-        steps = min(STEPS, 2 * least)
+        parts = max(1, least // PART)
+        size = least // parts if parts > 1 else max(1, least - self.edits(least))
+        budget = max(self.edits(len(self.items[i])) // max(1, len(self.items[i]) // size) for i in own)
+        steps = min(STEPS, 2 * size)
         words = len(self.vocab) + 1
         known = np.zeros(words, bool)
         for i in own:
             known[self.items[i]] = True
-        c = SizeClass(own, least - self.edits(least), self.edits(most), steps, known, np.zeros((0, words), np.uint64), [], np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1 << 20, bool))
-        picked = [own[i] for i in rng.integers(0, len(own), min(trials, 40 * len(own)))]
-        edited = [self._edited(self.items[i], rng) for i in picked]
+        c = SizeClass(own, size, max(0, size - budget), budget, steps, known, np.zeros((0, words), np.uint64), [], np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1 << 20, bool))
         flat, starts = self._laid([self.items[i] for i in own])
-        trial, trial_starts = self._laid(edited)
-        where = {i: n for n, i in enumerate(own)}
-        place = np.array([where[i] for i in picked])
-        hit, keys, owner = np.zeros(len(edited), bool), [], []
+        offsets = [self._offsets(len(self.items[i]), size) for i in own]
+        windows = np.concatenate([a + o for a, o in zip(starts, offsets)])
+        label = np.concatenate([(i << OFFSET) + o for i, o in zip(own, offsets)])
+        head = np.cumsum([0, *map(len, offsets)])
+        # edited copies, walked from where the parts have come to lie
+        picked = rng.integers(0, len(own), min(trials, 40 * len(own)))
+        kind = np.arange(len(picked)) % 3
+        edited = [self._edited(self.items[own[n]], rng, k) for n, k in zip(picked, kind)]
+        trial, trial_starts = self._laid([[w for w, _ in e] for e in edited])
+        strange = np.concatenate([[0], np.cumsum(~known[trial])])
+        place = np.concatenate([np.arange(head[n], head[n + 1]) for n in picked])
+        laid = np.concatenate([a + self._moved(e, offsets[n]) for a, e, n in zip(trial_starts, edited, picked)])
+        passes = strange[np.minimum(laid + c.span, len(trial))] - strange[laid] <= budget
+        of = np.repeat(np.arange(len(picked)), [len(offsets[n]) for n in picked])
+        hit, keys, owner = np.zeros(len(picked), bool), [], []
+        reached = 0.0
         # unknown words of edited copies are numbered 0, as in documents
-        while len(c.samples) < max_walks and (not len(hit) or hit.mean() < recall or len(c.samples) < 4):
+        while len(c.samples) < max_walks and (reached < recall or len(c.samples) < 4):
             c.turns = np.concatenate([c.turns, rng.integers(0, 1 << 63, (1, words), dtype=np.uint64) << np.uint64(1) | rng.integers(0, 2, (1, words), dtype=np.uint64)])
             early = np.stack([np.sort(rng.choice(max(coordinates + 1, int(steps * f)), coordinates, replace=False)) for f in np.linspace(0.3, 1.0, samples)])
             c.samples.append(early)
-            k = self._walk(c, len(c.samples) - 1, flat, starts)
-            t = self._walk(c, len(c.samples) - 1, trial, trial_starts)
-            hit |= (k[:, place] == t).any(axis=0)
+            k = self._walk(c, len(c.samples) - 1, flat, windows)
+            t = self._walk(c, len(c.samples) - 1, trial, laid)
+            hit[of[(k[:, place] == t).any(axis=0) & passes]] = True
+            reached = min(float(hit[kind == x].mean()) for x in np.unique(kind))
             keys.append(k.reshape(-1))
-            owner.append(np.tile(np.array(own), samples))
-        self.reached = min(self.reached, float(hit.mean()))
+            owner.append(np.tile(label, samples))
+        self.reached = min(self.reached, reached)
         keys, owner = np.concatenate(keys), np.concatenate(owner)
         order = np.argsort(keys, kind="stable")
         c.keys, c.owner = keys[order], owner[order]
         c.bitmap[(c.keys >> np.uint64(44)).astype(np.int64)] = True
         return c
 
-    def _edited(self, item: list[int], rng) -> list[int]:
-        out = list(item)
-        for _ in range(self.edits(len(item))):
-            at, kind = int(rng.integers(0, max(1, len(out)))), int(rng.integers(0, 3))
-            out[at : at + (kind != 0)] = [0] if kind != 1 else []
-        return out
+    @staticmethod
+    def _offsets(n: int, size: int) -> np.ndarray:
+        """The first words of the parts of an item of n words."""
+        rows = np.arange(0, n - size + 1, size)
+        mid = rows + size // 2
+        return np.unique(np.concatenate([rows, mid[mid <= n - size], [n - size]]))
+
+    def _edited(self, item: list[int], rng, kind: int) -> list[tuple[int, int]]:
+        """(word, its place in the item, or -1) of a copy with all edits allowed: spread out, at the head or at the tail."""
+        out = [(w, n) for n, w in enumerate(item)]
+        k = self.edits(len(item))
+        if not kind:
+            for _ in range(k):
+                at, how = int(rng.integers(0, max(1, len(out)))), int(rng.integers(0, 3))
+                out[at : at + (how != 0)] = [(0, out[at][1] if how else -1)] if how != 1 else []
+            return out
+        new = []
+        for w, n in out[:k] if kind == 1 else out[len(out) - k :]:
+            new += [[(0, -1), (w, n)], [], [(0, n)]][int(rng.integers(0, 3))]
+        return new + out[k:] if kind == 1 else out[: len(out) - k] + new
+
+    @staticmethod
+    def _moved(edited: list[tuple[int, int]], offsets: np.ndarray) -> np.ndarray:
+        """Where in the copy the item's words at offsets, or the next ones left, stand."""
+        own = np.array([(at, n) for at, (_, n) in enumerate(edited) if n >= 0], np.int64).reshape(-1, 2)
+        return np.append(own[:, 0], len(edited))[np.searchsorted(own[:, 1], offsets)]
 
     def _laid(self, seqs: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
         """Sequences one after the other with room for a walk's length between them."""
@@ -173,8 +217,8 @@ class Index:
             at += ((turns[w] >> np.uint64(j)) & np.uint64(1)).astype(np.int64)
         return out * MULT
 
-    def candidates(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window starts, items) whose hashes meet; flat ends with room for a walk."""
+    def candidates(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window starts, items, first words of parts) whose hashes meet; flat ends with room for a walk."""
         found = []
         n = len(flat) - STEPS - 1
         for c in self.classes:
@@ -194,9 +238,9 @@ class Index:
                         pick = np.repeat(lo, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
                         found.append(np.unique(np.stack([part[np.repeat(w, size)], c.owner[pick]]), axis=1))
         if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         both = np.unique(np.concatenate(found, axis=1), axis=1)
-        return both[0], both[1]
+        return both[0], both[1] >> OFFSET, both[1] & ((1 << OFFSET) - 1)
 
     def search(self, texts: list[str | None]) -> list[list[tuple]]:
         """For each text its leaks: (item id, distance, start, end), places in code points."""
@@ -210,11 +254,12 @@ class Index:
         flat = np.zeros(int(size.sum()) + STEPS + self.most + 2, np.int64)
         for w, a in zip(words, first):
             flat[a : a + len(w)] = np.fromiter(map(get, w, none), np.int64, len(w))
-        starts, items = self.candidates(flat)
+        starts, items, offsets = self.candidates(flat)
         docs = np.searchsorted(first, starts, "right") - 1
+        kinds = self.kinds
         best: dict[tuple[int, int], tuple] = {}
         seen: set[tuple[int, int, int]] = set()
-        for start, item, doc in zip(starts.tolist(), items.tolist(), docs.tolist()):
+        for start, item, doc in zip((starts - offsets).tolist(), items.tolist(), docs.tolist()):
             pattern = self.items[item]
             k = self.edits(len(pattern))
             # neighbouring windows share one stretch
@@ -224,7 +269,11 @@ class Index:
             a = max(0, cell * max(1, len(pattern) // 2) - len(pattern) - k)
             b = min(len(words[doc]), (cell + 1) * max(1, len(pattern) // 2) + 2 * len(pattern) + 2 * k)
             seen.add((doc, item, cell))
-            d, s, e = best_stretch(pattern, flat[first[doc] + a : first[doc] + b].tolist())
+            near = flat[first[doc] + a : first[doc] + b].tolist()
+            # every different word that is missing costs an edit
+            if len(kinds[item].difference(near)) > k:
+                continue
+            d, s, e = best_stretch(pattern, near)
             if d <= k and ((doc, item) not in best or (d, a + s) < best[doc, item][:2]):
                 best[doc, item] = (d, a + s, a + e)
         spans: dict[int, list] = {}
