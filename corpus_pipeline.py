@@ -28,8 +28,8 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    return simhash_trie.representatives(docs)
+    """One document of each group of near duplicates stays: five-word shingles, similarity 0.8."""
+    return simhash_trie.unlike(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

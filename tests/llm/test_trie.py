@@ -85,3 +85,28 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "x long, y long"), "x", "y").collect()}
     assert got == {**{i: 0 for i in range(61)}, 200: 200, 201: 200}
     assert components(spark.createDataFrame([], "x long, y long"), "x", "y").count() == 0
+
+
+def test_unlike_finds_what_three_bits_miss(spark):
+    """Near copies with a five-word shingle similarity of 0.8 or more go, whatever their fingerprints; others stay."""
+    rnd = random.Random(9)
+    words = [f"w{i}" for i in range(500)]
+    docs = []
+    for d in range(60):
+        w = [rnd.choice(words) for _ in range((100, 200, 1000)[d % 3])]
+        docs.append((d, " ".join(w)))
+        for i in rnd.sample(range(0, len(w), 11), (2, 4, 10)[d % 3]):
+            w[i] = "zz"
+        docs.append((1000 + d, " ".join(w)))
+    sets = {d: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for d, t in docs}
+    near = {1000 + d for d in range(60) if len(sets[d] & sets[1000 + d]) >= 0.8 * len(sets[d] | sets[1000 + d])}
+    assert len(near) > 40
+    rows = [*docs, (2000, None), (2001, ""), (2002, docs[0][1]), (2002, docs[0][1]), (None, "lone words here"), (None, "lone words here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = S.unlike(df)
+    assert kept.columns == df.columns
+    want = [d for d, _ in docs if d not in near]
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in kept.collect()) == sorted([-1, *want, 2000])
+    left = sum(r.doc_id in near for r in S.representatives(df).collect())
+    assert left > len(near) // 3
+    assert S.unlike(df.limit(0)).count() == 0

@@ -12,6 +12,10 @@ each group it found instead of all pairs; connectivity is what the links are for
 
 Rows: null text counts as empty (fingerprint zero, linked like any other); rows repeated or with a null id keep their own row;
 an empty table gives no rows; columns other than id and text are ignored.
+
+``unlike`` is for corpora: of texts whose sets of five-word shingles have a Jaccard similarity of 0.8, few have fingerprints within
+three bits. Candidates there share a band of minima (MinHash, a pair at 0.8 with probability 0.9996), and each pair's similarity is
+computed exactly.
 """
 
 from __future__ import annotations
@@ -262,3 +266,73 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if fp.groupBy(id_col, "key").count().where("count > 1").limit(1).count():
         rest = rest.withColumn("_key", F.xxhash64(text_col)).dropDuplicates([id_col, "_key"]).drop("_key")
     return rest
+
+
+def _bands(text: bytes | None, shingle: int, seed: int, turns: np.ndarray, rows: int) -> list[int]:
+    """A hash of each `rows` minima of the text's shingles; texts without words share theirs."""
+    h = np.array(_shingle_hashes(text, shingle, seed) or [0], np.uint64)
+    least = np.full(len(turns), np.iinfo(np.uint64).max, np.uint64)
+    for a in range(0, len(h), 4096):
+        least = np.minimum(least, ((h[None, a : a + 4096] ^ turns[:, :1]) * turns[:, 1:]).min(axis=1))
+    return [xxhash.xxh64_intdigest(x.tobytes()) for x in least.reshape(-1, rows)]
+
+
+def _similar(pairs: DataFrame, docs: DataFrame, text_col: str, shingle: int, seed: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of text hashes whose texts have that Jaccard similarity of shingles."""
+    members = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    texts = docs.select(F.xxhash64(text_col).alias("key"), F.col(text_col).cast("binary").alias("_text")).join(members, "key", "left_semi").dropDuplicates(["key"])
+
+    def run(batches):
+        for batch in batches:
+            own = [np.unique(np.array(_shingle_hashes(t, shingle, seed) or [0], np.uint64)).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int64()))], names=["key", "h"])
+
+    sets = written(texts.mapInArrow(run, "key long, h array<long>"), "shingles")
+    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("h").alias("ha")), "a").join(sets.select(F.col("key").alias("b"), F.col("h").alias("hb")), "b")
+    common = F.size(F.array_intersect("ha", "hb"))
+    return written(both.where(common >= similarity * (F.size("ha") + F.size("hb") - common) - 1e-9).select("a", "b"), "similar")
+
+
+def unlike(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, seed: int = 42, bands: int = 20, rows: int = 5, small: int = 200_000) -> DataFrame:
+    """The rows of docs without those connected by similar texts to one with a lesser (id, hash of text).
+
+    A null id comes first. Of rows with equal id and text one stays. In each band's bucket all texts are first compared with one;
+    then all pairs that this has not connected.
+    """
+    turns = np.random.default_rng(seed).integers(0, 1 << 63, (bands * rows, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def run(batches):
+        for batch in batches:
+            found = [[x - (1 << 64) * (x >> 63) for x in _bands(t, shingle, seed, turns, rows)] for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["_id", "key", "bands"])
+
+    kind = dict(docs.select(id_col).dtypes)[id_col]
+    laid = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("key"), F.col(text_col).cast("binary").alias("_text"))
+    laid = written(laid.mapInArrow(run, f"_id {kind}, key long, bands array<long>"), "bands")
+    place = F.struct(F.col("_id").alias("id"), "key")
+    least = laid.groupBy("key").agg(F.min(place).alias("least"))
+    buckets = laid.select("key", F.posexplode("bands").alias("band", "value")).distinct()
+    shared = buckets.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("key").alias("first")).where("n > 1")
+    buckets = written(buckets.join(shared, ["band", "value"]).select("band", "value", "key", "first"), "buckets")
+    tried = written(buckets.where("key <> first").select(F.col("first").alias("a"), F.col("key").alias("b")).distinct(), "stars")
+    linked = _similar(tried, docs, text_col, shingle, seed, similarity)
+    groups = components(linked, "a", "b").withColumnsRenamed({"node": "key", "root": "g"})
+    known = buckets.join(groups, "key", "left").select("band", "value", "key", F.coalesce("g", "key").alias("g"))
+    mixed = known.groupBy("band", "value").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x <> y").select("band", "value")
+    known = written(known.join(mixed, ["band", "value"], "left_semi"), "mixed")
+    a, b = known.alias("a"), known.alias("b")
+    rest = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.value") == F.col("b.value")) & (F.col("a.key") < F.col("b.key")) & (F.col("a.g") != F.col("b.g")))
+    rest = written(rest.select(F.col("a.key").alias("a"), F.col("b.key").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "rest")
+    if not rest.isEmpty():
+        linked = linked.unionByName(_similar(rest, docs, text_col, shingle, seed, similarity))
+        groups = components(linked, "a", "b").withColumnsRenamed({"node": "key", "root": "g"})
+    of = least.join(groups, "key", "left").select("key", "least", F.coalesce("g", "key").alias("g"))
+    stay = of.groupBy("g").agg(F.min("least").alias("stay"))
+    gone = laid.select("_id", "key").join(of.join(stay, "g").select("key", "stay"), "key")
+    gone = written(gone.where(~place.eqNullSafe(F.col("stay"))).select("_id", F.col("key").alias("_key")).distinct(), "gone")
+    few = gone.limit(small + 1).count() <= small
+    match = F.col(id_col).eqNullSafe(F.col("_id")) & F.xxhash64(text_col).eqNullSafe(F.col("_key"))
+    out = docs.join(F.broadcast(gone) if few else gone, match, "left_anti")
+    if laid.groupBy("_id", "key").count().where("count > 1").limit(1).count():
+        out = out.withColumn("_key", F.xxhash64(text_col)).dropDuplicates([id_col, "_key"]).drop("_key")
+    return out
