@@ -56,3 +56,15 @@ def test_edges(spark):
     got = T.predict(df, m, keep=(F.lit(True).alias("held"),)).collect()
     assert len(got) == 5 and all(r.score < 0.01 + (r.doc_id == 3) and r.held for r in got)
     assert T.predict(df.limit(0), m).count() == 0 and T.train(df, lab.limit(0)).weights == {}
+
+
+def test_learns_from_the_end_of_long_texts(spark):
+    """Offending sentences that stand after some 4,500 words."""
+    docs, labels, _ = corpus(240, 2)
+    rnd = random.Random(3)
+    long = [(d, " ".join(". " * (i % 9 == 8) + f"w{rnd.randrange(400)}" for i in range(4500)) + ". " + t) for d, t in docs]
+    df, lab = spark.createDataFrame(long, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    m = T.train(df, lab.where("doc_id < 160"))
+    assert set().union(*(T.features(w)[:1] for w in BAD)) <= {f for f, w in m.weights.items() if w > 0}
+    got = {r.doc_id: r.predicted for r in T.predict(df, m).collect()}
+    assert np.mean([got[d] == y for d, y in labels if d >= 160]) > 0.95

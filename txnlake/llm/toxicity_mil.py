@@ -4,8 +4,8 @@ A sentence's probability is logistic in the weights of its words and their first
 sentences, 1 - prod(1 - p). Weights are fitted to document labels by the gradient of the documents' log loss through the noisy-or,
 so blame settles on the sentences that set toxic documents apart, and those are reported with their places.
 
-The classifier is fitted on at most ``max_train`` labelled documents for each class, chosen by a hash of the id, of which at most the
-first ``max_words`` words count; both bound the one task that fits it. Scoring reads whole texts.
+The classifier is fitted on the whole texts of at most ``max_train`` labelled documents for each class, chosen by a hash of the id. One
+task fits it, whose memory grows with their words. Scoring reads whole texts.
 
 Sentences end at a line break or at a word that ends with . ! or ?. Words are split at white space, lower-cased and stripped of
 punctuation.
@@ -111,8 +111,8 @@ class Model:
         return out
 
 
-def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_train: int, max_words: int) -> DataFrame:
-    """(id, y, f, s): label, features and sentence starts of the chosen documents, bounded by max_train and max_words."""
+def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_train: int) -> DataFrame:
+    """(id, y, f, s): label, features and sentence starts of the chosen documents, of which there are at most max_train for each class."""
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_y"))
     parts = [known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(max_train) for y in (0, 1)]
     rows = docs.join(F.broadcast(parts[0].unionByName(parts[1])), F.col(id_col) == F.col("_id")).select("_id", "_y", F.col(text_col).alias("_text"))
@@ -122,7 +122,7 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
             feats, starts = [], []
             for text in batch.column(2).to_pylist():
                 f, s, new = [], [], True
-                for t in _tokens(text)[:max_words]:
+                for t in _tokens(text):
                     if new:
                         s.append(len(f))
                     f += features(t)
@@ -191,7 +191,7 @@ def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = 200, rate:
     return Model(bias, {int(names[use[i]]): float(w[i]) for i in np.flatnonzero(w)})
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_train: int = 3000, max_words: int = 4000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_train: int = 3000) -> Model:
     """The model of a bounded sample, fitted in one task; the driver gets the weights alone."""
 
     def run(batches):
@@ -203,7 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         m = fit(bags)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *m.weights], pa.int64()), pa.array([m.bias, *m.weights.values()], pa.float64())], names=["feature", "weight"])
 
-    rows = sample(docs, labels, id_col, text_col, label_col, max_train, max_words)
+    rows = sample(docs, labels, id_col, text_col, label_col, max_train)
     found = {r.feature: r.weight for r in rows.repartition(1).mapInArrow(run, "feature long, weight double").collect()}
     return Model(found.pop(-1, NO_BIAS), found)
 
