@@ -30,8 +30,9 @@ def duplicates(df: DataFrame, key: str = HASH) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, key: str = HASH) -> DataFrame:
-    """All rows of such keys, with their number."""
-    return df.join(duplicates(df, key), key)
+    """All rows of such keys, with their number: one shuffle by the key. A null key is no key."""
+    n = F.count("*").over(Window.partitionBy(key))
+    return df.where(F.col(key).isNotNull()).withColumn("n", n).where("n > 1")
 
 
 def upserted(target: DataFrame, source: DataFrame, key: str = HASH, json_columns: tuple[str, ...] = ()) -> DataFrame:

@@ -9,6 +9,7 @@ from txnlake.functions import values as V
 from txnlake.functions.scalars import lookup
 from txnlake.operators.rolling import rolling_stats
 
+# Columns, labels and reasons of the two scores are given; here and below.
 NOTABILITY_COLUMNS = [
     "transaction_hash", "transaction_date", "subcategory", "amount_abs_eur", "hist_window_days", "hist_n_txns", "hist_avg_amount_eur",
     "hist_std_amount_eur", "hist_max_amount_eur", "amount_z_score", "is_new_subcategory", "is_new_subcategory_max", "notability_score",
@@ -22,9 +23,12 @@ SAVE_COLUMNS = [
 
 
 def expenses(df: DataFrame) -> DataFrame:
-    """Expenses, of either case, with a date and an amount."""
+    """Expenses, of either case, with a date (of a string its first ten characters count) and an amount."""
     out = df.where(F.upper("transaction_type") == "EXPENSE")
-    out = out.withColumn("transaction_date", F.col("transaction_date").try_cast("date")).withColumn("amount_abs_eur", F.col("amount_abs_eur").try_cast("decimal(12,2)"))
+    date = F.col("transaction_date")
+    if dict(df.dtypes)["transaction_date"] == "string":
+        date = F.substring(date, 1, 10)
+    out = out.withColumn("transaction_date", date.try_cast("date")).withColumn("amount_abs_eur", F.col("amount_abs_eur").try_cast("decimal(12,2)"))
     return out.where(F.col("transaction_date").isNotNull() & F.col("amount_abs_eur").isNotNull())
 
 
