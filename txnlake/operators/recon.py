@@ -32,11 +32,12 @@ def monthly(df: DataFrame) -> DataFrame:
 
 
 def overlap(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides within the dates that both cover."""
-    ends = lambda d, p: d.agg(F.min("date").alias(f"{p}0"), F.max("date").alias(f"{p}1"))
-    span = ends(left, "l").crossJoin(ends(right, "r")).select(F.greatest("l0", "r0").alias("_from"), F.least("l1", "r1").alias("_to"))  # one row
-    cut = lambda d: d.join(F.broadcast(span), F.col("date").between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
-    return cut(left), cut(right)
+    """Both sides within the dates that both cover. The two dates are read first, so that the filter reaches the scans."""
+    ends = [d.agg(F.min("date"), F.max("date")).first() for d in (left, right)]
+    if any(x is None for e in ends for x in e):
+        return left.limit(0), right.limit(0)
+    first, last = max(e[0] for e in ends), min(e[1] for e in ends)
+    return tuple(d.where(F.col("date").between(F.lit(first), F.lit(last))) for d in (left, right))
 
 
 def monthly_comparison(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.operators import clean, enrich, layers, merge
+from txnlake.functions.store import release, written
+from txnlake.operators import audit, clean, enrich, layers, merge
 from txnlake.plans.warehouse import Warehouse
 
 LOG = logging.getLogger("txnlake.load")
@@ -20,7 +21,11 @@ EMPTY = "nothing to load"
 
 @dataclass
 class Loader:
-    """extract: (date_from, date_to) -> raw rows; preset: account filter, of incremental loads only; strict: equal hashes are an error."""
+    """extract: (date_from, date_to) -> raw rows; preset: account filter, of incremental loads only; strict: equal hashes are an error.
+
+    Hooks: post_transform over the cleaned rows; silver_policy (batch, silver so far or None) -> rows to add, by default the batch in a
+    first or full load and else the rows that silver lacks; review gets the rows of repeated hashes of a full load.
+    """
 
     spark: SparkSession
     warehouse: Warehouse
@@ -31,6 +36,9 @@ class Loader:
     strict: bool = False
     days: int = 365
     created_by: str = "txnlake"
+    post_transform: Callable[[DataFrame], DataFrame] | None = None
+    silver_policy: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None
+    review: Callable[[DataFrame], None] | None = None
     counts: dict = field(default_factory=dict)
 
     def watermark(self) -> dt.date | None:
@@ -61,47 +69,68 @@ class Loader:
                 LOG.info(EMPTY)
                 return
         raw = self.extract(date_from, date_to).persist()
+        rows = None
         try:
             self.counts["rows_extracted"] = raw.count()
             if not self.counts["rows_extracted"]:
                 LOG.info(EMPTY)
                 return
-            rows = clean.clean(raw).withColumn("_order", F.monotonically_increasing_id()).persist()
+            rows = clean.clean(raw)
+            rows = self.post_transform(rows) if self.post_transform else rows
+            rows = rows.withColumn("_order", F.monotonically_increasing_id()).persist()
             self.counts["rows_transformed"] = rows.count()
             if not self.counts["rows_transformed"]:
                 LOG.info(EMPTY)
                 return
             for warning in clean.validate(rows, self.counts["rows_extracted"]):
                 LOG.warning(warning)
-            if self.mode == "incremental":
-                rows = enrich.preset_filter(rows, self.preset)
-            new = self._commit(rows, batch)
+            kept = enrich.preset_filter(rows, self.preset) if self.mode == "incremental" else rows
+            new = self._commit(kept, batch)
         finally:
             raw.unpersist()
+            if rows is not None:
+                rows.unpersist()
         self.refresh(new)
 
     def _commit(self, rows: DataFrame, batch: str) -> DataFrame | None:
         """Staging, bronze and silver in one commit. Returns the new expenses' hashes, or None for all."""
-        w, numbered = self.warehouse, layers.numbered(rows, ["_order"]).drop("_order")
-        staging = layers.staging(numbered, self.source, batch)
-        bronze = layers.bronze(numbered, self.source, batch).withColumn("ingestion_timestamp", F.current_timestamp())
-        silver = enrich.enriched(layers.silver(numbered, self.created_by), enrich.mapping(self.spark))
-        old_bronze, old = w.read("bronze.transactions_raw"), w.read("silver.transactions")
-        if self.strict and merge.duplicates(silver).limit(1).count():
-            raise ValueError("the batch has several rows of one transaction_hash")
-        silver = silver.dropDuplicates(["transaction_hash"])
+        w = self.warehouse
+        seen, _ = w.state()
+        numbered = layers.numbered(rows, ["_order"]).drop("_order")
+        old = w.read("silver.transactions")
         full = self.mode == "full" or old is None
-        fresh = silver if full else merge.new_rows(silver, old)
-        versions = {
-            "staging.raw_transactions": w.stage("staging.raw_transactions", staging),
-            "bronze.transactions_raw": w.stage("bronze.transactions_raw", bronze if old_bronze is None else old_bronze.unionByName(bronze, allowMissingColumns=True)),
+        repeated = merge.duplicate_rows(numbered)
+        if self.strict and repeated.limit(1).count():
+            raise ValueError("the batch has several rows of one transaction_hash")
+        if full and self.review:
+            self.review(repeated)
+        # of equal hashes the first row stays
+        unique = merge.deduplicated(numbered, "source_row_number")
+        silver = enrich.enriched(layers.silver(unique, self.created_by), enrich.mapping(self.spark))
+        policy = self.silver_policy or (lambda batch, target: batch if full else merge.new_rows(batch, target))
+        stamp = F.current_timestamp()
+        added = w.stage("silver.transactions", policy(silver, old).withColumn("created_at", stamp))
+        changes = {
+            "staging.raw_transactions": w.stage("staging.raw_transactions", layers.staging(numbered, self.source, batch)),
+            "bronze.transactions_raw": w.stage("bronze.transactions_raw", layers.bronze(numbered, self.source, batch).withColumn("ingestion_timestamp", stamp)),
+            "silver.transactions": added,
         }
-        added = self.spark.read.parquet(w.stage("silver.batch", fresh.withColumn("created_at", F.current_timestamp())))
-        versions["silver.transactions"] = w.stage("silver.transactions", added if full else old.unionByName(added, allowMissingColumns=True))
-        w.commit(versions)
-        n = added.count()
-        self.counts |= {"rows_staged": self.counts["rows_transformed"], "rows_bronze": self.counts["rows_transformed"], "rows_silver": n, "rows_skipped": rows.count() - n}
-        return None if full else added.where("transaction_type = 'EXPENSE'").select("transaction_hash")
+        w.commit(changes, ("bronze.transactions_raw",) if full else ("bronze.transactions_raw", "silver.transactions"), seen)
+        new = self.spark.read.parquet(*added)
+        n, all_rows = new.count(), rows.count()
+        self.counts |= {"rows_staged": all_rows, "rows_bronze": all_rows, "rows_silver": n, "rows_skipped": all_rows - n}
+        return None if full else new.where("transaction_type = 'EXPENSE'").select("transaction_hash")
+
+    def correct(self, changes: DataFrame, columns: list[str], actor: str | None = None, reason: str | None = None) -> int:
+        """Lay columns of `changes` over silver by hash and log every changed row to metadata.transaction_audit, in one commit."""
+        w = self.warehouse
+        seen, _ = w.state()
+        before = w.read("silver.transactions")
+        after = self.spark.read.parquet(*(path := w.stage("silver.transactions", audit.corrected(before, "transaction_hash", changes, columns))))
+        entries = audit.audit_diff(before, after, actor=actor, reason=reason).withColumn("changed_at", F.current_timestamp())
+        log = w.stage("metadata.transaction_audit", entries)
+        w.commit({"silver.transactions": path, "metadata.transaction_audit": log}, ("metadata.transaction_audit",), seen)
+        return self.spark.read.parquet(*log).count()
 
     def refresh(self, hashes: DataFrame | None = None, names: tuple[str, ...] = tuple(merge.METRICS)) -> dict[str, int]:
         """Recompute gold for the hashes, or as a whole. A whole table is replaced, so rows without a transaction go."""
@@ -110,11 +139,14 @@ class Loader:
             metric = merge.METRICS[name]
             table = f"gold.{metric.name}"
             try:
-                rows = merge.refreshed(silver, metric, hashes, self.days).withColumn("computed_at", F.current_timestamp())
-                old = self.warehouse.read(table)
-                rows = self.spark.read.parquet(self.warehouse.stage(f"{table}_batch", rows))
+                rows = written(merge.refreshed(silver, metric, hashes, self.days).withColumn("computed_at", F.current_timestamp()), metric.name)
                 out[name] = rows.count()
-                self.warehouse.commit({table: self.warehouse.stage(table, rows if old is None or hashes is None else merge.upserted(old, rows))})
+                month = F.date_format("transaction_date", "yyyy-MM")
+                if hashes is None:
+                    self.warehouse.commit({table: self.warehouse.stage(table, rows, month)})
+                elif out[name]:
+                    self.warehouse.upsert(table, rows, month, merge.upserted)
+                release(rows)
             except Exception:
                 LOG.exception("gold table %s was not refreshed", table)
         return out

@@ -72,7 +72,7 @@ SAVE = f"""{NOTABLE}, {MONTHS}, fr AS (SELECT x.*, k.month_txn_count, k.hist_avg
   save AS (SELECT *, CASE WHEN sscore >= 5 THEN 'High Save Potential' WHEN sscore >= 3 THEN 'Medium Save Potential' WHEN sscore >= 1 THEN 'Low Save Potential' ELSE 'Minimal' END AS slabel FROM saved)"""
 STORED, INCOMING = f"transaction_date < DATE '{STORED_UNTIL}'", f"transaction_date >= DATE '{INCOMING_FROM}'"
 NEW = f"{INCOMING} AND transaction_hash NOT IN (SELECT transaction_hash FROM silver WHERE {STORED})"
-SIDES = f"""{TXN}, lft AS (SELECT * RENAME (subcategory AS category) FROM txn WHERE date < DATE '2000-01-01'),
+SIDES = f"""{TXN}, book AS (SELECT * RENAME (subcategory AS category) FROM txn), lft AS (SELECT * RENAME (subcategory AS category) FROM txn WHERE date < DATE '2000-01-01'),
   rgt AS (SELECT id, date, type, CAST(CASE WHEN id % 37 = 0 THEN amount + 1 ELSE amount END AS DECIMAL(12,2)) AS amount, subcategory AS category FROM txn WHERE date >= DATE '1996-01-01' AND id % 41 <> 0),
   lk AS (SELECT *, strftime(date, '%Y-%m-%d') || '_' || CAST(amount AS VARCHAR) || '_' || category AS txn_key FROM lft),
   rk AS (SELECT *, strftime(date, '%Y-%m-%d') || '_' || CAST(amount AS VARCHAR) || '_' || category AS txn_key FROM rgt)"""
@@ -109,13 +109,13 @@ _SREASON = """CASE classification WHEN 'WANT' THEN 'Discretionary (WANT)' WHEN '
 ORACLE: dict[str, str] = {
     "scan_filter_project": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, CAST(o_totalprice AS DECIMAL(12,2)) AS amount FROM orders WHERE o_totalprice > 200000",
     "staging_projection": f"WITH {TXN} SELECT strftime(date, '%Y-%m-%d') AS date, description AS note, type, payee, CAST(amount AS VARCHAR) AS amount, '' AS labels, account, subcategory AS category, currency, payment, 'export.csv' AS source_file, 'batch-1' AS batch_id FROM txn",
-    "bronze_projection": f"WITH {CLEAN} SELECT date AS transaction_date, description, transaction_type, payee, CAST(amount AS DECIMAL(12,2)) AS amount, account AS account_name, subcategory, currency, payment AS payment_method, 'export.csv' AS source_file, 'batch-1' AS ingestion_batch_id FROM clean",
+    "bronze_projection": f"WITH {CLEAN} SELECT date AS transaction_date, description, transaction_type, payee, CAST(amount AS DECIMAL(12,2)) AS amount, '' AS labels, account AS account_name, subcategory, currency, payment AS payment_method, 'export.csv' AS source_file, 'batch-1' AS ingestion_batch_id FROM clean",
     "silver_projection": f"WITH {SILVER} SELECT transaction_hash, transaction_date, transaction_type, amount, amount_abs, currency, amount_eur, eur_conversion_rate, amount_bgn, subcategory, account_name, year_month, CAST(NULL AS VARCHAR) AS classification FROM silver",
     "api_field_map": f"""WITH {TXN}, f AS (SELECT *, CASE id % 6 WHEN 0 THEN 'income' WHEN 1 THEN 'expense' WHEN 2 THEN 'transfer' WHEN 3 THEN 'expenses' WHEN 5 THEN 'INCOME' END AS k,
       CASE id % 5 WHEN 0 THEN 'CASH' WHEN 1 THEN 'DEBIT_CARD' WHEN 2 THEN '' WHEN 3 THEN 'VOUCHER' ELSE 'BARTER' END AS p, CAST(abs(amount) AS DOUBLE) AS a FROM txn)
       SELECT CAST(id AS VARCHAR) AS source_record_id, strftime(date, '%Y-%m-%d') AS date, CASE lower(k) WHEN 'income' THEN 'Income' WHEN 'transfer' THEN 'Transfer' ELSE 'Expenses' END AS type,
       CASE WHEN id % 3 = 0 THEN 'payer' ELSE payee END AS payee, CASE WHEN coalesce(k, 'expense') = 'expense' THEN -a ELSE a END AS amount, subcategory AS category, currency, p AS payment FROM f""",
-    "row_number_lineage": f"WITH {TXN} SELECT id, row_number() OVER (ORDER BY date, id) AS source_row_number FROM txn WHERE type = 'Income'",
+    "row_number_lineage": f"WITH {TXN} SELECT id, row_number() OVER (ORDER BY date, id) AS source_row_number FROM txn",
     "json_flatten": """SELECT CAST(event_id AS VARCHAR) AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS "recordDate", round(value, 2) AS amount_value, CASE WHEN user_id % 2 = 0 THEN 'EUR' ELSE 'BGN' END AS amount_currency,
       'c' || CAST(user_id % 10 AS VARCHAR) AS category_id, CAST(user_id AS VARCHAR) AS "accountId", CASE WHEN user_id % 4 <> 0 THEN event_type || ', , z' ELSE '' END AS labels,
       CASE WHEN user_id % 3 = 0 THEN round(value, 2) END AS base_amount_value, CASE WHEN user_id % 3 = 0 THEN 'BGN' ELSE 'EUR' END AS base_amount_currency, json_extract_string(props, '$.k') AS k FROM events""",
@@ -178,7 +178,7 @@ ORACLE: dict[str, str] = {
     "coalesce_payee": f"WITH {TXN} SELECT id, CASE WHEN id % 3 = 1 THEN payee WHEN id % 2 = 0 THEN account ELSE '' END AS payee FROM txn",
     "retention_check": f"WITH {TXN} SELECT count(*) AS n_in, count(*) FILTER (type <> 'Transfer') AS n_out, count(*) FILTER (type <> 'Transfer') < 0.8 * count(*) AS low_retention FROM txn",
     "batch_profile": f"WITH {CLEAN} SELECT count(*) AS n, count(*) - count(DISTINCT transaction_hash) AS n_duplicates, min(date) AS first, max(date) AS last, CAST(min(amount) AS DECIMAL(18,2)) AS least, CAST(max(amount) AS DECIMAL(18,2)) AS most, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total FROM clean",
-    "recon_expense_filter": f"WITH {SIDES} SELECT id, type, category FROM lft WHERE contains(lower(type), 'expense') AND NOT regexp_matches(lower(category), 'transfer|withdraw')",
+    "recon_expense_filter": f"WITH {SIDES} SELECT id, type, category FROM book WHERE contains(lower(type), 'expense') AND NOT regexp_matches(lower(category), 'transfer|withdraw')",
     "recon_missing_keys": f"WITH {SIDES} SELECT 'left' AS side, id, txn_key FROM lk WHERE txn_key NOT IN (SELECT txn_key FROM rk) UNION ALL SELECT 'right', id, txn_key FROM rk WHERE txn_key NOT IN (SELECT txn_key FROM lk)",
     "recon_monthly_outer_join": f"""WITH {SIDES}, span AS (SELECT greatest((SELECT min(date) FROM lft), (SELECT min(date) FROM rgt)) AS a, least((SELECT max(date) FROM lft), (SELECT max(date) FROM rgt)) AS b),
       lm AS (SELECT strftime(date, '%Y-%m') AS month, count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS t FROM lft, span WHERE date BETWEEN a AND b GROUP BY 1),
@@ -187,10 +187,10 @@ ORACLE: dict[str, str] = {
     "recon_summary": f"""WITH {SIDES}, l AS (SELECT count(*) AS n_left, count(DISTINCT txn_key) AS keys_left, CAST(sum(amount) AS DECIMAL(18,2)) AS total_left FROM lk), r AS (SELECT count(*) AS n_right, count(DISTINCT txn_key) AS keys_right, CAST(sum(amount) AS DECIMAL(18,2)) AS total_right FROM rk),
       x AS (SELECT *, CAST(abs(total_left - total_right) AS DOUBLE) / CAST(abs(total_left) AS DOUBLE) AS share FROM l, r)
       SELECT n_left, keys_left, total_left, n_right, keys_right, total_right, round(share * 100, 4) AS diff_pct, CASE WHEN share < 0.05 THEN 'similar' WHEN share < 0.15 THEN 'moderate' ELSE 'significant' END AS verdict FROM x""",
-    "category_topk": f"WITH {SIDES} SELECT category, count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS total FROM lft GROUP BY 1 ORDER BY n DESC, category LIMIT 15",
-    "amount_stats": f"WITH {SIDES} SELECT type, round(avg(CAST(amount AS DOUBLE)), 4) AS mean, round(median(CAST(amount AS DOUBLE)), 4) AS median, min(CAST(amount AS DOUBLE)) AS least, max(CAST(amount AS DOUBLE)) AS most FROM lft GROUP BY 1",
+    "category_topk": f"WITH {SIDES} SELECT category, count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS total FROM book GROUP BY 1 ORDER BY n DESC, category LIMIT 15",
+    "amount_stats": f"WITH {SIDES} SELECT type, round(avg(CAST(amount AS DOUBLE)), 4) AS mean, round(median(CAST(amount AS DOUBLE)), 4) AS median, min(CAST(amount AS DOUBLE)) AS least, max(CAST(amount AS DOUBLE)) AS most FROM book GROUP BY 1",
     "income_expense_breakdown": f"""WITH {SIDES} SELECT currency, CAST(coalesce(sum(amount) FILTER (amount < 0), 0) AS DECIMAL(18,2)) AS expenses, CAST(coalesce(sum(amount) FILTER (amount > 0), 0) AS DECIMAL(18,2)) AS income, CAST(sum(amount) AS DECIMAL(18,2)) AS net,
-      count(*) FILTER (amount < 0) AS n_expenses, count(*) FILTER (amount > 0) AS n_income, count(*) FILTER (amount = 0) AS n_zero FROM lft GROUP BY 1""",
+      count(*) FILTER (amount < 0) AS n_expenses, count(*) FILTER (amount > 0) AS n_income, count(*) FILTER (amount = 0) AS n_zero FROM book GROUP BY 1""",
     "null_profile": f"""WITH {TXN}, c AS (SELECT count(*) AS n, count(*) FILTER (id % 5 = 0) AS p, count(*) FILTER (id % 7 <> 0) AS a FROM txn)
       SELECT 'id' AS "column", CAST(0 AS BIGINT) AS n_null, 0.0::DOUBLE AS pct_null FROM c UNION ALL SELECT 'payee', p, round(p * 100.0::DOUBLE / n, 4) FROM c UNION ALL SELECT 'account', a, round(a * 100.0::DOUBLE / n, 4) FROM c""",
     "paged_scan": f"WITH {TXN} SELECT id, date FROM txn ORDER BY date, id LIMIT 200 OFFSET 400",

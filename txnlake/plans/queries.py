@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from txnlake.functions import scalars as S
 from txnlake.functions import values as V
+from txnlake.functions.store import written
 from txnlake.operators import anonymise, audit, clean, enrich, layers, merge, recon, rolling, scores
 from txnlake.plans import tables as T
 from txnlake.sources import records
@@ -44,8 +45,7 @@ def staging_projection(spark, sf_dir):
 
 @query
 def bronze_projection(spark, sf_dir):
-    df = layers.bronze(T.cleaned(spark, sf_dir), "export.csv", "batch-1")
-    return df.drop("labels")
+    return layers.bronze(T.cleaned(spark, sf_dir), "export.csv", "batch-1")
 
 
 @query
@@ -69,7 +69,7 @@ def api_field_map(spark, sf_dir):
 
 @query
 def row_number_lineage(spark, sf_dir):
-    t = T.txn(spark, sf_dir).where("type = 'Income'").select("id", "date")
+    t = T.txn(spark, sf_dir).select("id", "date")
     return layers.numbered(t, ["date", "id"]).select("id", F.col("source_row_number").cast("long").alias("source_row_number"))
 
 
@@ -128,9 +128,10 @@ def category_parent_self_join(spark, sf_dir):
 @query
 def lookup_default_join(spark, sf_dir):
     s = T.table(spark, sf_dir, "supplier")
-    names = T.table(spark, sf_dir, "nation").where("n_nationkey < 15").select(F.col("n_nationkey").cast("string").alias("nid"), "n_name")
-    ids = s.select("s_suppkey", F.when(F.col("s_suppkey") % 7 != 0, F.col("s_nationkey").cast("string")).alias("nid"))
-    return ids.join(F.broadcast(names), "nid", "left").select("s_suppkey", F.coalesce("n_name", "nid", F.lit("")).alias("name"))
+    accounts = T.table(spark, sf_dir, "nation").where("n_nationkey < 15").select(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name"))
+    categories = spark.createDataFrame([], "id string, name string, parentId string")
+    ids = s.select("s_suppkey", F.when(F.col("s_suppkey") % 7 != 0, F.col("s_nationkey").cast("string")).alias("accountId"), F.lit(None).cast("string").alias("category_id"))
+    return records.with_names(ids, accounts, categories).select("s_suppkey", F.col("account_name").alias("name"))
 
 
 @query
@@ -143,8 +144,8 @@ def incremental_anti_join(spark, sf_dir):
 def late_data_overlap(spark, sf_dir):
     """Rows of the last 30 days before the watermark are read again and those known left out."""
     s = T.silver(spark, sf_dir)
-    mark = T.stored(s).agg(F.max("transaction_date").alias("mark"))
-    again = s.join(F.broadcast(mark), F.col("transaction_date") >= F.date_sub("mark", 30)).drop("mark")
+    mark = T.stored(s).agg(F.max("transaction_date")).first()[0]
+    again = s.where(F.col("transaction_date") >= F.date_sub(F.lit(mark), 30))
     return merge.new_rows(again, T.stored(s)).groupBy("transaction_type").agg(F.count("*").alias("n"), F.min("transaction_date").alias("first"))
 
 
@@ -184,7 +185,8 @@ def dq_flags(spark, sf_dir):
 @query
 def monthly_subcategory_counts(spark, sf_dir):
     sub = F.when(F.col("id") % 11 != 0, F.col("subcategory"))
-    return T.txn(spark, sf_dir).groupBy(F.date_format("date", "yyyy-MM").alias("year_month"), sub.alias("subcategory")).agg(F.count("*").alias("n"))
+    rows = T.txn(spark, sf_dir).select(F.date_format("date", "yyyy-MM").alias("year_month"), sub.alias("subcategory"))
+    return scores.monthly_counts(rows).select("year_month", "subcategory", F.col("month_txn_count").alias("n"))
 
 
 @query
@@ -230,8 +232,10 @@ def gold_upsert_merge(spark, sf_dir):
 
 @query
 def gold_incremental_refresh(spark, sf_dir):
-    s = T.silver(spark, sf_dir)
-    hashes = merge.new_rows(T.incoming(s), T.stored(s)).where("transaction_type = 'EXPENSE'")
+    metric = merge.METRICS["save-potential"]
+    # silver as a load finds it: a stored table, of which the refresh reads a slice
+    s = written(T.silver(spark, sf_dir).select(*metric.columns), "silver")
+    hashes = written(merge.new_rows(T.incoming(s), T.stored(s)).where("transaction_type = 'EXPENSE'").select("transaction_hash"), "hashes")
     out = merge.refreshed(s, merge.METRICS["save-potential"], hashes)
     return out.select("transaction_hash", "month_txn_count", F.round("hist_avg_monthly_count", 6).alias("hist_avg_monthly_count"), F.round("save_potential_score", 6).alias("score"), "save_potential_label")
 
@@ -249,7 +253,8 @@ def audit_diff(spark, sf_dir):
 
 @query
 def anonymized_export(spark, sf_dir):
-    s = T.silver(spark, sf_dir).drop("created_by", "source_raw_id", "labels").persist()
+    s = T.silver(spark, sf_dir).drop("created_by", "source_raw_id", "labels")
+    s = written(s, "silver")
     wide = anonymise.wide(s, scores.notability(s), scores.save_potential(s))
     out = anonymise.anonymised(wide)
     return out.select("transaction_hash", "transaction_date", "merchant", "city", "description", "payee", "account_name", "account_group", "amount", "amount_eur", "notability_label", "save_potential_label")
@@ -357,9 +362,13 @@ def batch_profile(spark, sf_dir):
     return recon.batch_profile(T.cleaned(spark, sf_dir))
 
 
+def _book(spark, sf_dir):
+    return T.txn(spark, sf_dir).withColumnRenamed("subcategory", "category")
+
+
 def _recon(spark, sf_dir):
     """Two sides of one book: the right one lacks some rows, has others with another amount and starts later."""
-    t = T.txn(spark, sf_dir).withColumnRenamed("subcategory", "category")
+    t = _book(spark, sf_dir)
     left = t.where("date < DATE'2000-01-01'")
     amount = F.when(F.col("id") % 37 == 0, F.col("amount") + F.lit(1)).otherwise(F.col("amount")).cast("decimal(12,2)")
     return left, t.where("date >= DATE'1996-01-01' AND id % 41 <> 0").withColumn("amount", amount)
@@ -367,8 +376,7 @@ def _recon(spark, sf_dir):
 
 @query
 def recon_expense_filter(spark, sf_dir):
-    left, _ = _recon(spark, sf_dir)
-    return recon.expense_rows(left).select("id", "type", "category")
+    return recon.expense_rows(_book(spark, sf_dir)).select("id", "type", "category")
 
 
 @query
@@ -388,17 +396,17 @@ def recon_summary(spark, sf_dir):
 
 @query
 def category_topk(spark, sf_dir):
-    return recon.category_top(_recon(spark, sf_dir)[0])
+    return recon.category_top(_book(spark, sf_dir))
 
 
 @query
 def amount_stats(spark, sf_dir):
-    return recon.amount_stats(_recon(spark, sf_dir)[0], "type")
+    return recon.amount_stats(_book(spark, sf_dir), "type")
 
 
 @query
 def income_expense_breakdown(spark, sf_dir):
-    return recon.breakdown(_recon(spark, sf_dir)[0], "currency")
+    return recon.breakdown(_book(spark, sf_dir), "currency")
 
 
 @query

@@ -1,4 +1,10 @@
-"""Layers as Parquet tables with atomic commits: new versions of tables are written aside, then one manifest names them all."""
+"""Layers as lists of Parquet folders under numbered manifests.
+
+A commit writes new folders aside, then creates the next manifest, which names the folders of all tables: a file that must not exist
+yet, so of two writers one comes first, and readers see all of a commit or nothing. A manifest is valid only with its closing line;
+the greatest valid one counts, so a writer that dies in between leaves the state before. Appending adds a folder to a table's list;
+an upsert rewrites the folders of the months it touches; nothing else is read or written.
+"""
 
 from __future__ import annotations
 
@@ -7,12 +13,18 @@ import hashlib
 import json
 import re
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 LAYERS = ("staging", "bronze", "silver", "gold", "metadata")
 RUNS = "run_id string, mode string, source string, status string, started_at timestamp, finished_at timestamp, duration_seconds double, rows_extracted long, rows_transformed long, rows_staged long, rows_bronze long, rows_silver long, rows_skipped long, batch_id string, error string"
+CLOSED = "\n-- end"
+
+
+class Conflict(RuntimeError):
+    """Another writer changed one of the tables since this one read them."""
 
 
 class Warehouse:
@@ -37,29 +49,89 @@ class Warehouse:
     def _read_text(self, path: str) -> str:
         return "".join(r[0] for r in self.spark.read.text(path, wholetext=True).collect())
 
-    def manifest(self) -> dict[str, str]:
-        current = f"{self.root}/CURRENT"
-        return json.loads(self._read_text(current)) if self._fs.exists(self._path(current)) else {}
+    def _numbers(self) -> list[int]:
+        found = self._fs.globStatus(self._path(f"{self.root}/manifest-*.json")) or []
+        return sorted((int(f.getPath().getName()[9:-5]) for f in found), reverse=True)
+
+    def state(self) -> tuple[int, dict[str, list[str]]]:
+        """Number and tables of the greatest valid manifest; 0 where there is none."""
+        for n in self._numbers():
+            text = self._read_text(f"{self.root}/manifest-{n:012d}.json")
+            if text.endswith(CLOSED):
+                return n, json.loads(text[: -len(CLOSED)])
+        return 0, {}
+
+    def manifest(self) -> dict[str, list[str]]:
+        return self.state()[1]
+
+    def paths(self, table: str) -> list[str]:
+        return self.manifest().get(table, [])
+
+    def _frame(self, paths: list[str]) -> DataFrame:
+        return self.spark.read.option("mergeSchema", True).parquet(*paths)
 
     def read(self, table: str) -> DataFrame | None:
-        path = self.manifest().get(table)
-        return self.spark.read.parquet(path) if path else None
+        paths = self.paths(table)
+        return self._frame(paths) if paths else None
 
-    def stage(self, table: str, df: DataFrame) -> str:
-        """Write a new version of the table; it is not visible before commit()."""
+    def stage(self, table: str, df: DataFrame, by: Column | None = None) -> list[str]:
+        """Write rows of the table, with `by` a folder for each of its values; they are not visible before commit()."""
         path = f"{self.root}/{table.replace('.', '/')}/v-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return path
-
-    def commit(self, versions: dict[str, str]) -> None:
-        """Make the versions current, all at once: the manifest is renamed over the old one."""
-        text = json.dumps(self.manifest() | versions)
-        aside, current = self._path(f"{self.root}/CURRENT-{uuid.uuid4().hex}"), self._path(f"{self.root}/CURRENT")
-        out = self._fs.create(aside, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        self._fs.delete(current, False)
-        self._fs.rename(aside, current)
+        if by is None:
+            df.write.parquet(path)
+            return [path]
+        df.withColumn("_part", by).write.partitionBy("_part").parquet(path)
+        return sorted(f"{path}/{x.getPath().getName()}" for x in self._fs.listStatus(self._path(path)) if x.isDirectory())
+
+    def commit(self, changes: dict[str, list[str]], append: tuple[str, ...] = (), seen: int | None = None) -> int:
+        """Make the folders current, all at once; those of the tables in `append` are added to what is there.
+
+        seen: the manifest that `changes` was computed from; if another one has replaced one of these tables since, Conflict.
+        """
+        while True:
+            n, tables = self.state()
+            if seen is not None and n > seen:
+                before = self._tables_at(seen)
+                moved = [t for t in changes if tables.get(t) != before.get(t) and t not in append]
+                if moved:
+                    raise Conflict(f"changed meanwhile: {moved}")
+            text = json.dumps(tables | {t: (tables.get(t, []) + new if t in append else new) for t, new in changes.items()}) + CLOSED
+            n = max([n, *self._numbers()]) + 1
+            try:
+                out = self._fs.create(self._path(f"{self.root}/manifest-{n:012d}.json"), False)
+            except Exception as e:
+                if "exist" not in str(e).lower():
+                    raise
+                continue  # another writer has this number; look again
+            out.write(bytearray(text.encode()))
+            out.close()
+            return n
+
+    def _tables_at(self, n: int) -> dict[str, list[str]]:
+        return json.loads(self._read_text(f"{self.root}/manifest-{n:012d}.json")[: -len(CLOSED)]) if n else {}
+
+    def upsert(self, table: str, rows: DataFrame, month: Column, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+        """Put rows into or over the table's, month by month. A row's key decides its month. Only months hit are read and rewritten."""
+        n, tables = self.state()
+        hit = {f"_part={r[0]}" for r in rows.select(month).distinct().collect()}  # as many as there are months
+        old = [p for p in tables.get(table, []) if p.rsplit("/", 1)[-1] in hit]
+        rest = [p for p in tables.get(table, []) if p not in old]
+        return self.commit({table: rest + self.stage(table, merge(self._frame(old), rows) if old else rows, month)}, seen=n)
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete the folders that none of the last `keep` manifests names, and older manifests. Not beside a running load."""
+        numbers = self._numbers()
+        wanted = {p for n in numbers[:keep] for paths in self._tables_at(n).values() for p in paths}
+        gone = []
+        for f in self._fs.globStatus(self._path(f"{self.root}/*/*/v-*")) or []:
+            path = f.getPath()
+            name = f"{self.root}/{path.getParent().getParent().getName()}/{path.getParent().getName()}/{path.getName()}"
+            if not any(w == name or w.startswith(name + "/") for w in wanted):
+                self._fs.delete(path, True)
+                gone.append(name)
+        for n in numbers[keep:]:
+            self._fs.delete(self._path(f"{self.root}/manifest-{n:012d}.json"), False)
+        return gone
 
     def log_run(self, row: dict) -> None:
         """Append a run; its own files, so that a failed load is logged too."""

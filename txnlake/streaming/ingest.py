@@ -18,8 +18,8 @@ def upsert_batch(warehouse: Warehouse, spark: SparkSession):
     def run(batch: DataFrame, batch_id: int) -> None:
         rows = enrich.enriched(layers.silver(clean.clean(batch), f"stream-{batch_id}"), enrich.mapping(spark)).dropDuplicates(["transaction_hash"])
         old = warehouse.read("silver.transactions")
-        new = rows if old is None else old.unionByName(merge.new_rows(rows, old), allowMissingColumns=True)
-        warehouse.commit({"silver.transactions": warehouse.stage("silver.transactions", new)})
+        new = rows if old is None else merge.new_rows(rows, old)
+        warehouse.commit({"silver.transactions": warehouse.stage("silver.transactions", new)}, append=("silver.transactions",))
 
     return run
 
