@@ -33,9 +33,32 @@ def transaction_hash(date: Column, amount: Column, category: Column, description
 
 
 def parse_date(c: Column) -> Column:
-    """The first format that fits; a time part after T is cut."""
-    day = F.split_part(strip(c), F.lit("T"), F.lit(1))
-    return F.coalesce(*[F.try_to_timestamp(day, F.lit(f)) for f in V.DATE_FORMATS]).cast("date")
+    """The first format that fits; a time part after T is cut.
+
+    What fits none is read as free text: month names in any case, weekdays, ordinal endings, zones and fractions of seconds left out.
+    """
+    bare = strip(c)
+    day = F.split_part(bare, F.lit("T"), F.lit(1))
+    tries = [F.try_to_timestamp(day, F.lit(f)) for f in V.DATE_FORMATS]
+    # the lambda keeps what few rows reach out of the generated code, and binds the text once
+    free = F.transform(F.array(F.when(bare.rlike(r"\d"), bare)), lambda x: _free_date(x))[0]
+    return F.coalesce(*tries, free).cast("date")
+
+
+def _free_date(text: Column) -> Column:
+    for pattern, by in (
+        (r"(?i)^(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?,?\s+", ""),
+        (r"(?i)(\d)(?:st|nd|rd|th)\b", "$1"),
+        (r"(?i)(:\d\d)(?:\.\d+)?\s*(?:z|utc|gmt|[+-]\d\d:?\d\d)?$", "$1"),
+        (r"(?i)\bsept\b", "Sep"),
+        (r"([A-Za-z]{3})\.", "$1"),
+        (r"(?i)(\d) ?([ap])\.?m\.?$", "$1 $2M"),
+        (r"\s+", " "),
+    ):
+        text = F.regexp_replace(text, pattern, by)
+    # names of months with a capital, AM and PM in capitals
+    shown = F.transform(F.array(F.regexp_replace(F.initcap(text), r"(?i) ([ap])m$", " $1M")), lambda y: F.coalesce(*[F.try_to_timestamp(y, F.lit(f)) for f in (*V.DATE_FORMATS, *V.FREE_DATES)]))
+    return shown[0]
 
 
 def parse_amount(c: Column) -> Column:

@@ -2,25 +2,91 @@
 
 from __future__ import annotations
 
-# Category -> classification -> subcategories (82 rows).
-TAXONOMY = [
-    ("Communication, PC", "NEED", ["Internet", "Phone, cell phone", "Postal services"]),
-    ("Communication, PC", "WANT", ["Software, apps, games"]),
-    ("Financial expenses", "MUST", ["Advisory", "Charges, Fees", "Child Support", "Fines", "Insurances", "Loan, interests", "Taxes"]),
-    ("Food & Drinks", "NEED", ["Food & Drinks", "Groceries"]),
-    ("Food & Drinks", "WANT", ["Bar, cafe"]),
-    ("Housing", "MUST", ["Energy, utilities", "Maintenance, repairs", "Mortgage", "Property insurance", "Rent", "Services"]),
-    ("Income", None, ["Aliments", "Bonus, extra income", "Checks, coupons", "Dues & grants", "Gifts", "Interests, dividends", "Investment income", "Lending, renting", "Other income", "Refunds", "Refunds (tax, purchase)", "Rental income", "Sale", "Wage, invoices"]),
-    ("Investments", "WANT", ["Collections", "Cryptocurrency", "Financial investments", "Investments", "Realty", "Savings", "Stocks, bonds", "Vehicles, chattels"]),
-    ("Life & Entertainment", "WANT", ["Active sport, fitness", "Alcohol, tobacco", "Books, audio, subscriptions", "Charity, gifts", "Culture, sport events", "Education, development", "Health care, doctor", "Hobbies", "Holiday, trips, hotels", "Life events", "Lottery, gambling", "TV, Streaming", "Wellness, beauty"]),
-    ("Other", "WANT", ["Other", "Uncategorized", "Unknown Expense", "UNKNOWNN_CATEGORY"]),
-    ("Shopping", "WANT", ["Clothes & shoes", "Drug-store, chemist", "Electronics, accessories", "Free time", "Gifts, joy", "Health and beauty", "Home, garden", "Jewels, accessories", "Kids", "Pets, animals", "Stationary, tools"]),
-    ("Transfers", "WANT", ["Transfer", "Transfer, withdraw"]),
-    ("Transportation", "NEED", ["Business trips", "Long distance", "Public transport", "Taxi"]),
-    ("Vehicle", "NEED", ["Fuel", "Leasing", "Parking", "Rentals", "Vehicle insurance", "Vehicle maintenance"]),
-]
-#: (subcategory, category, classification) in the taxonomy's order.
-MAPPING = [(sub, cat, cls) for cat, cls, subs in TAXONOMY for sub in subs]
+# Fixed values: (subcategory, category, classification), 82 rows.
+MAPPING = [
+    ("Internet", "Communication, PC", "NEED"),
+    ("Phone, cell phone", "Communication, PC", "NEED"),
+    ("Postal services", "Communication, PC", "NEED"),
+    ("Software, apps, games", "Communication, PC", "WANT"),
+    ("Advisory", "Financial expenses", "MUST"),
+    ("Charges, Fees", "Financial expenses", "MUST"),
+    ("Child Support", "Financial expenses", "MUST"),
+    ("Fines", "Financial expenses", "MUST"),
+    ("Insurances", "Financial expenses", "MUST"),
+    ("Loan, interests", "Financial expenses", "MUST"),
+    ("Taxes", "Financial expenses", "MUST"),
+    ("Food & Drinks", "Food & Drinks", "NEED"),
+    ("Groceries", "Food & Drinks", "NEED"),
+    ("Bar, cafe", "Food & Drinks", "WANT"),
+    ("Energy, utilities", "Housing", "MUST"),
+    ("Maintenance, repairs", "Housing", "MUST"),
+    ("Mortgage", "Housing", "MUST"),
+    ("Property insurance", "Housing", "MUST"),
+    ("Rent", "Housing", "MUST"),
+    ("Services", "Housing", "MUST"),
+    ("Aliments", "Income", None),
+    ("Bonus, extra income", "Income", None),
+    ("Checks, coupons", "Income", None),
+    ("Dues & grants", "Income", None),
+    ("Gifts", "Income", None),
+    ("Interests, dividends", "Income", None),
+    ("Investment income", "Income", None),
+    ("Lending, renting", "Income", None),
+    ("Other income", "Income", None),
+    ("Refunds", "Income", None),
+    ("Refunds (tax, purchase)", "Income", None),
+    ("Rental income", "Income", None),
+    ("Sale", "Income", None),
+    ("Wage, invoices", "Income", None),
+    ("Collections", "Investments", "WANT"),
+    ("Cryptocurrency", "Investments", "WANT"),
+    ("Financial investments", "Investments", "WANT"),
+    ("Investments", "Investments", "WANT"),
+    ("Realty", "Investments", "WANT"),
+    ("Savings", "Investments", "WANT"),
+    ("Stocks, bonds", "Investments", "WANT"),
+    ("Vehicles, chattels", "Investments", "WANT"),
+    ("Active sport, fitness", "Life & Entertainment", "WANT"),
+    ("Alcohol, tobacco", "Life & Entertainment", "WANT"),
+    ("Books, audio, subscriptions", "Life & Entertainment", "WANT"),
+    ("Charity, gifts", "Life & Entertainment", "WANT"),
+    ("Culture, sport events", "Life & Entertainment", "WANT"),
+    ("Education, development", "Life & Entertainment", "WANT"),
+    ("Health care, doctor", "Life & Entertainment", "WANT"),
+    ("Hobbies", "Life & Entertainment", "WANT"),
+    ("Holiday, trips, hotels", "Life & Entertainment", "WANT"),
+    ("Life events", "Life & Entertainment", "WANT"),
+    ("Lottery, gambling", "Life & Entertainment", "WANT"),
+    ("TV, Streaming", "Life & Entertainment", "WANT"),
+    ("Wellness, beauty", "Life & Entertainment", "WANT"),
+    ("Other", "Other", "WANT"),
+    ("Uncategorized", "Other", "WANT"),
+    ("Unknown Expense", "Other", "WANT"),
+    ("UNKNOWNN_CATEGORY", "Other", "WANT"),
+    ("Clothes & shoes", "Shopping", "WANT"),
+    ("Drug-store, chemist", "Shopping", "WANT"),
+    ("Electronics, accessories", "Shopping", "WANT"),
+    ("Free time", "Shopping", "WANT"),
+    ("Gifts, joy", "Shopping", "WANT"),
+    ("Health and beauty", "Shopping", "WANT"),
+    ("Home, garden", "Shopping", "WANT"),
+    ("Jewels, accessories", "Shopping", "WANT"),
+    ("Kids", "Shopping", "WANT"),
+    ("Pets, animals", "Shopping", "WANT"),
+    ("Stationary, tools", "Shopping", "WANT"),
+    ("Transfer", "Transfers", "WANT"),
+    ("Transfer, withdraw", "Transfers", "WANT"),
+    ("Business trips", "Transportation", "NEED"),
+    ("Long distance", "Transportation", "NEED"),
+    ("Public transport", "Transportation", "NEED"),
+    ("Taxi", "Transportation", "NEED"),
+    ("Fuel", "Vehicle", "NEED"),
+    ("Leasing", "Vehicle", "NEED"),
+    ("Parking", "Vehicle", "NEED"),
+    ("Rentals", "Vehicle", "NEED"),
+    ("Vehicle insurance", "Vehicle", "NEED"),
+    ("Vehicle maintenance", "Vehicle", "NEED"),
+]
 
 # EUR for one unit; unknown currencies count as EUR.
 EUR_RATES = {"BGN": 0.51130, "EUR": 1.0, "USD": 1.17}
@@ -39,6 +105,12 @@ DATE_FORMATS = [
     "yyyy-M-d H:mm:ss", "yyyy-d-M H:mm:ss", "M-d-yyyy H:mm:ss", "d-M-yyyy H:mm:ss", "yyyy/M/d H:mm:ss", "M.d.yyyy", "d.M.yyyy",
     "yyyy.M.d", "yyyy.d.M", "yyyy M d", "yyyy d M", "yyyyMMdd", "MMMM d yyyy", "M/d/yy",
 ]
+#: Written-out dates, tried after those.
+FREE_DATES = [
+    "d MMMM yyyy", "d MMM yyyy", "MMMM d, yyyy", "MMM d, yyyy", "MMM d yyyy", "d-MMM-yyyy", "d-MMM-yy", "d. MMMM yyyy", "yyyy MMM d",
+    "yyyy-MMM-d", "MMMM yyyy", "MMM yyyy", "yyyy-M", "yyyy/M", "M/yyyy", "M/d/yyyy h:mm a", "M/d/yyyy h:mm:ss a", "yyyy-M-d H:mm", "M/d/yyyy H:mm",
+    "d MMM yyyy H:mm:ss", "d MMM yyyy H:mm", "MMM d, yyyy h:mm:ss a", "MMM d, yyyy h:mm a", "yyyyMMddHHmmss",
+]
 # Pattern -> name of a date's format, in order.
 DATE_SHAPES = [
     (r"^\d{4}-\d{2}-\d{2}$", "ISO 8601 (YYYY-MM-DD)"),

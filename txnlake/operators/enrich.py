@@ -30,9 +30,11 @@ def enriched(silver: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def preset_filter(df: DataFrame, preset: dict | None, account: str = "account", date: str = "date") -> DataFrame:
-    """Rows of allowed accounts, up to an account's last day. No preset or no such column: all rows."""
-    if not preset or account not in df.columns:
+    """Rows of allowed accounts, up to an account's last day. No preset: all rows. A preset without such a column is an error."""
+    if not preset:
         return df
+    if account not in df.columns:
+        raise ValueError(f"a preset filters by {account}, which the rows do not have")
     name = F.trim(F.col(account))
     ends = preset.get("account_end_dates") or {}
     late = [(name == a) & ~F.coalesce(F.col(date).cast("date") <= F.lit(dt.date.fromisoformat(str(d))), F.lit(False)) for a, d in ends.items()]

@@ -12,7 +12,7 @@ import urllib.request
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from txnlake.sources.records import SCHEMA
+from txnlake.sources.records import SCHEMA, flattened, mapped, with_names
 
 PAGE, PAUSE_S, ATTEMPTS, LONGEST_WAIT_S = 200, 0.2, 5, 60
 
@@ -76,6 +76,38 @@ class RecordSource(DataSource):
         return _Reader(self.options)
 
 
+def _lookup(base: str, kind: str, headers: dict[str, str], opener, sleep) -> list[dict]:
+    """All entries of an account or category list, page by page: as many as a person keeps."""
+    out, offset = [], 0
+    while offset is not None:
+        q = urllib.parse.urlencode([("limit", PAGE), ("offset", offset)])
+        page = fetched(f"{base}/{kind}?{q}", headers, opener, sleep)
+        out += page.get(kind, [])
+        offset = page.get("nextOffset")
+        if offset is not None:
+            sleep(PAUSE_S)
+    return out
+
+
+def lookups(spark: SparkSession, url: str, token: str | None = None, opener=urllib.request.urlopen, sleep=time.sleep) -> tuple[DataFrame, DataFrame]:
+    """(accounts, categories): id and name, of categories the parent's id as well. The first of equal ids counts; no name is Unknown."""
+    headers = {"Authorization": f"Bearer {token}"} if token else {}
+    out = []
+    for kind, schema in (("accounts", "id string, name string"), ("categories", "id string, name string, parentId string")):
+        first = {}
+        for x in _lookup(url, kind, headers, opener, sleep):
+            if x.get("id") is not None:
+                first.setdefault(str(x["id"]), (str(x["id"]), x.get("name") or "Unknown", *([x.get("parentId")] if kind == "categories" else [])))
+        out.append(spark.createDataFrame(list(first.values()), schema))
+    return tuple(out)
+
+
+def extract(spark: SparkSession, url: str, date_from: str | None = None, date_to: str | None = None, token: str | None = None, days: int = 365) -> DataFrame:
+    """Records of the range as the cleaner's input, with names of accounts and parent categories."""
+    flat = flattened(records(spark, url, date_from, date_to, token, days))
+    return mapped(with_names(flat, *lookups(spark, url, token)))
+
+
 def records(spark: SparkSession, url: str, date_from: str | None = None, date_to: str | None = None, token: str | None = None, days: int = 365) -> DataFrame:
     """Nested records of the range, by default the last `days` days. No records: an empty table."""
     from pyspark.sql import functions as F

@@ -13,18 +13,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """All columns as strings; quotes are doubled and fields may hold line breaks."""
-    return spark.read.csv(path, header=True, multiLine=True, escape='"', encoding=encoding, inferSchema=False)
+def csv(spark: SparkSession, path: str, encoding: str = "UTF-8", one_line: bool = False, types: bool = False) -> DataFrame:
+    """All columns as strings, or with types inferred; quotes are doubled.
 
+    Fields may hold line breaks, which makes a file one task; with one_line they may not, and great files are split.
+    """
+    return spark.read.csv(path, header=True, multiLine=not one_line, escape='"', encoding=encoding, inferSchema=types)
 
-def scan(spark: SparkSession, path: str) -> DataFrame:
+
+def scan(spark: SparkSession, path: str, one_line: bool = False, types: bool = False) -> DataFrame:
     """A .csv or .xlsx/.xls export. A missing file is FileNotFoundError, another suffix ValueError."""
     if not exists(spark, path):
         raise FileNotFoundError(path)
     low = path.lower()
     if low.endswith(".csv"):
-        return csv(spark, path)
+        return csv(spark, path, one_line=one_line, types=types)
     if low.endswith((".xlsx", ".xls")):
         import pandas as pd  # needs openpyxl, which isn't part of this library
 

@@ -10,6 +10,7 @@ from txnlake.functions import scalars as S
 SCHEMA = """id string, recordDate string, recordType string, paymentType string, note string, payee string, payer string,
 amount struct<value: double, currencyCode: string>, baseAmount struct<value: double, currencyCode: string>,
 category struct<id: string, name: string>, accountId string, labels array<struct<name: string>>, recordState string, createdAt string, updatedAt string"""
+# The columns of a record that are flattened.
 KNOWN = ("id", "recordDate", "recordType", "paymentType", "note", "payee", "payer", "amount", "category", "accountId", "labels", "baseAmount")
 # API name -> name in the cleaner's input, for the columns that are there.
 RENAMES = {
@@ -17,6 +18,7 @@ RENAMES = {
     "account_name": "account", "accountId": "account_id", "amount_value": "amount", "amount_currency": "currency", "paymentType": "payment",
     "recordState": "record_state", "createdAt": "created_at", "updatedAt": "updated_at",
 }
+# Columns of the cleaner's input, in order.
 EXPECTED = [
     "source_record_id", "date", "date_time", "note", "type", "payee", "payer", "amount", "labels", "account_name", "account", "account_id",
     "category_parent_name", "category_id", "category", "currency", "payment", "base_amount_value", "base_amount_currency", "record_state",
