@@ -95,3 +95,12 @@ def test_validation(spark):
 
 def test_euros_in_text(spark):
     assert values(spark, S.scaled_euros, ["avg €420 and €10.5", "none", "€", None]) == ["avg €307 and €8", "none", "€", None]
+
+
+def test_free_dates(spark):
+    from txnlake.functions import scalars as S
+
+    texts = ["29 March 2024", "MARCH 29, 2024", "Mar 29 2024", "29-Mar-2024", "Friday, March 29th, 2024", "2024-03-29 10:11:12+02:00", "2024-03-29 10:11:12.345", "3/29/2024 5:06 PM", "2024-03-29T10:11:12Z", "29 Sept. 2024", "soon", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: str(r.d) for r in df.select("i", S.parse_date(F.col("t")).alias("d")).collect()}
+    assert got == {**{i: "2024-03-29" for i in range(9)}, 9: "2024-09-29", 10: "None", 11: "None", 12: "None"}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from txnlake.operators import anonymise, audit, enrich, merge
 from txnlake.plans.load import Loader
-from txnlake.plans.warehouse import Migrations, Warehouse
+from txnlake.plans.warehouse import Conflict, Migrations, Warehouse
 from txnlake.streaming.ingest import ingest, spend_cube
 
 EXPORT = "date string, note string, type string, payee string, amount string, labels string, account string, category string, currency string, payment string"
@@ -113,3 +113,83 @@ def test_migrations(spark, tmp_path):
     (f / "bad.sql").write_text("")
     with pytest.raises(RuntimeError, match="NNN"):
         m.files()
+
+
+def test_commits_survive_a_crash_and_conflicts(spark, tmp_path):
+    """A writer that dies leaves the state before; of two writers of one table the second is refused; appends go side by side."""
+    w = Warehouse(spark, str(tmp_path / "w"))
+    w.create()
+    rows = lambda *v: spark.createDataFrame([(x,) for x in v], "v int")
+    first = w.commit({"silver.t": w.stage("silver.t", rows(1))})
+    seen = w.state()[0]
+    w.stage("silver.t", rows(9))  # died before its commit
+    (tmp_path / "w" / f"manifest-{first + 1:012d}.json").write_text('{"silver.t": ["/no')  # died within it
+    assert [r.v for r in w.read("silver.t").collect()] == [1]
+    other = Warehouse(spark, w.root)
+    other.commit({"silver.t": other.stage("silver.t", rows(2))}, append=("silver.t",), seen=seen)
+    with pytest.raises(Conflict):
+        w.commit({"silver.t": w.stage("silver.t", rows(3))}, seen=seen)
+    w.commit({"silver.u": w.stage("silver.u", rows(4)), "silver.t": w.stage("silver.t", rows(5))}, append=("silver.t",), seen=seen)
+    assert sorted(r.v for r in w.read("silver.t").collect()) == [1, 2, 5] and w.read("silver.u").count() == 1
+    assert len(w.vacuum(1)) == 2 and sorted(r.v for r in w.read("silver.t").collect()) == [1, 2, 5]
+
+
+def test_upsert_rewrites_only_the_months_hit(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    w.create()
+    kind = "transaction_hash string, transaction_date date, v int"
+    month = F.date_format("transaction_date", "yyyy-MM")
+    days = [dt.date(2024, m, 3) for m in (1, 2, 3)]
+    w.upsert("gold.t", spark.createDataFrame([(str(i), d, i) for i, d in enumerate(days)], kind), month, merge.upserted)
+    before = {p.rsplit("=")[-1]: p for p in w.paths("gold.t")}
+    w.upsert("gold.t", spark.createDataFrame([("1", days[1], 10), ("9", days[1], 9)], kind), month, merge.upserted)
+    after = {p.rsplit("=")[-1]: p for p in w.paths("gold.t")}
+    assert {m for m in after if after[m] != before[m]} == {"2024-02"}
+    assert {(r.transaction_hash, r.v) for r in w.read("gold.t").collect()} == {("0", 0), ("1", 10), ("2", 2), ("9", 9)}
+
+
+def test_hooks_review_and_corrections(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    w.create()
+    seen = []
+    twice = [*FIRST, FIRST[0]]
+    loader = Loader(spark, w, lambda a, b: export(spark, twice), "full", post_transform=lambda d: d.where("description <> 'w'"), review=lambda d: seen.append(d.count()), silver_policy=lambda batch, old: batch.where("amount < 40"))
+    assert loader.run() and seen == [2] and loader.counts["rows_silver"] == 2 and loader.counts["rows_skipped"] == 2
+    silver = w.read("silver.transactions")
+    key = silver.where("description = 'a'").first().transaction_hash
+    n = loader.correct(spark.createDataFrame([(key, "Rent"), ("unknown", "Rent")], "transaction_hash string, subcategory string"), ["subcategory"], "me", "wrong shop")
+    log = w.read("metadata.transaction_audit").collect()
+    assert n == 1 and [(r.transaction_hash, r.changed_fields, r.actor, r.reason) for r in log] == [(key, ["subcategory"], "me", "wrong shop")]
+    assert {r.subcategory for r in w.read("silver.transactions").collect()} == {"Rent", "Groceries"}
+
+
+def test_first_of_equal_hashes_stays(spark):
+    rows = spark.createDataFrame([("a", 3, "z"), ("a", 1, "x"), ("b", 2, "y")], "transaction_hash string, source_row_number long, v string")
+    assert {tuple(r) for r in merge.deduplicated(rows, "source_row_number").select("transaction_hash", "v").collect()} == {("a", "x"), ("b", "y")}
+
+
+def test_command_line(spark, tmp_path, capsys):
+    """Loads from CSV with a preset, dry run with dumps, comparison, exports."""
+    from txnlake import cli
+
+    csv = tmp_path / "x.csv"
+    lines = ["date,note,type,payee,amount,labels,account,category,currency,payment"]
+    lines += [f'{d},{n},{t},p,{a},,{"Cash" if n != "b" else "Bank"},"{c}",EUR,card' for d, n, t, a, c in [*FIRST, FIRST[0]]]
+    csv.write_text("\n".join(lines) + "\n")
+    run = lambda *a: cli.main(["--warehouse", str(tmp_path / "w"), "--file", str(csv), *a], spark)
+    presets = tmp_path / "p.yaml"
+    presets.write_text("presets:\n  cash:\n    allowed_accounts: [Cash]\n")
+    assert run("--dry-run", "--dump", str(tmp_path / "dump")) == 0
+    out = capsys.readouterr().out
+    assert "extracted: 6" in out and "cleaned: 5" in out and "repeated: 2" in out and (tmp_path / "dump" / "flagged").exists()
+    with pytest.raises(SystemExit):
+        run("--account-filter", "none", "--presets", str(presets))
+    assert run("--account-filter", "cash", "--presets", str(presets)) == 0
+    w = Warehouse(spark, str(tmp_path / "w"))
+    assert w.read("silver.transactions").count() == 3
+    assert run("--mode", "full") == 0 and w.read("silver.transactions").count() == 4
+    assert spark.read.csv(str(tmp_path / "w" / "review" / "duplicate_transactions"), header=True).count() == 2
+    assert run("--refresh-gold", "both") == 0 and run("--export-anonymised", str(tmp_path / "anon")) == 0
+    assert run("--compare", str(csv), "--out", str(tmp_path / "reports")) == 0
+    summary = spark.read.csv(str(tmp_path / "reports" / "summary"), header=True).first()
+    assert (summary.n_left, summary.n_right) == ("2", "3")

@@ -89,3 +89,42 @@ def test_presets(tmp_path):
     p.write_text("presets: {}")
     with pytest.raises(ValueError):
         files.presets(str(p))
+
+
+def test_the_data_source_and_lookups(spark):
+    """A run through the registered source against a server, with names of accounts and parent categories."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+    from urllib.parse import parse_qs, urlparse
+
+    record = lambda i, day, account: {"id": str(i), "recordDate": f"{day}T10:00:00Z", "recordType": "expense", "amount": {"value": 5.0 + i, "currencyCode": "EUR"}, "category": {"id": "c2", "name": "Bar"}, "accountId": account}
+    stored = [record(0, "2025-01-02", "a1"), record(1, "2025-03-01", "a9"), record(2, "2025-05-30", None)]
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            u = urlparse(self.path)
+            q = parse_qs(u.query)
+            if u.path == "/records":
+                lo, hi = (x.split(".", 1)[1] for x in q["recordDate"])
+                body = {"records": [r for r in stored if lo <= r["recordDate"][:10] < hi]}
+            elif u.path == "/accounts":
+                body = {"accounts": [{"id": "a1", "name": "Cash"}]}
+            elif "nextOffset" not in q and q["offset"] == ["0"]:
+                body = {"categories": [{"id": "c1", "name": "Food"}], "nextOffset": 1}
+            else:
+                body = {"categories": [{"id": "c2", "name": "Bar", "parentId": "c1"}, {"id": "c3"}]}
+            data = json.dumps(body).encode()
+            self.send_response(200 if self.headers["Authorization"] == "Bearer t" else 401)
+            self.end_headers()
+            self.wfile.write(data)
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        got = api.extract(spark, f"http://127.0.0.1:{server.server_port}", "2025-01-01", "2025-06-01", "t").collect()
+    finally:
+        server.shutdown()
+    assert {(r.source_record_id, r.account, r.category, r.category_parent_name, r.amount) for r in got} == {("0", "Cash", "Bar", "Food", -5.0), ("1", "a9", "Bar", "Food", -6.0), ("2", "", "Bar", "Food", -7.0)}
