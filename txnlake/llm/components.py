@@ -2,7 +2,7 @@
 
 The number of edges never grows from step to step, rounds are logarithmic in practice, and a hub's edges are joined (and
 split by adaptive execution), never gathered in one task. Nodes may be of any orderable type. Each round is written to the
-shared folder, so a lost executor repeats one round at most.
+shared folder, so a lost executor repeats one round at most; the table of the round before is deleted then.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.store import written
+from txnlake.llm.store import release, written
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -41,7 +41,8 @@ def components(edges: DataFrame, left: str, right: str, max_rounds: int = 60) ->
     for _ in range(max_rounds):
         if not mark[0]:
             break
-        e = written(_small_star(_large_star(e)), "stars")
+        before, e = e, written(_small_star(_large_star(e)), "stars")
+        release(before)
         now = _mark(e)
         if now == mark:
             break

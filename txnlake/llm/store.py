@@ -1,46 +1,5 @@
-"""Intermediate tables in the folder that driver and executors share.
+"""Intermediate tables of the corpus operators: see txnlake.functions.store."""
 
-Lineage is cut by writing Parquet under ``spark.checkpoint.dir``; a lost executor then costs a reread, never a recomputation
-of everything before. Where the setting is absent (local tests), a temporary folder is set once for the session.
-"""
+from txnlake.functions.store import fresh, new_folder, release, shared_dir, written
 
-from __future__ import annotations
-
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-_known: set[str] = set()
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; set to a local one only where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("txnlake.local.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="txnlake-")
-        spark.conf.set("txnlake.local.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder of this application's own; all of them are deleted when its JVM ends."""
-    top = f"{shared_dir(spark)}/txnlake/{spark.sparkContext.applicationId}"
-    if top not in _known:
-        _known.add(top)
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(top)
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        fs.mkdirs(path)
-        fs.deleteOnExit(path)
-    return f"{top}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of df, written once to the shared folder and read from there."""
-    spark = df.sparkSession
-    path = new_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["fresh", "new_folder", "release", "shared_dir", "written"]
