@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,3 +56,27 @@ def test_few_terms_are_traversed():
     held = maxscore._best(ids[:500], q @ post[:, :500], 5)
     got = maxscore._search(q, -1, ids[500:], post[:, 500:], post[:, 500:].max(axis=1), post[:, 500:].min(axis=1), held, 5)
     assert (got[0] == want[0]).all() and np.allclose(got[1], want[1])
+
+
+def test_terms_are_skipped(spark, monkeypatch):
+    """After a task's first, small shard most terms are non-essential where few terms carry the scores, and results are exact."""
+    rnd = random.Random(4)
+    rows = [(i, [rnd.random() * (40 if t < 4 else 0.5) for t in range(64)]) for i in range(1500)]
+    assert found(spark, rows) == brute(rows)
+    seen = []
+    search = maxscore._search
+
+    def spied(q, qid, ids, postings, hi, lo, held, k, **more):
+        full = len(held[1]) == k
+        seen.append((full, len(ids)))
+        if full:
+            total = np.cumsum(np.sort(np.maximum(q * hi, q * lo)))
+            seen[-1] += (int(np.searchsorted(np.maximum.accumulate(total), held[1][-1])),)
+        return search(q, qid, ids, postings, hi, lo, held, k, **more)
+
+    monkeypatch.setattr(maxscore, "_search", spied)
+    ids = pa.array([i for i, _ in rows])
+    batch = pa.RecordBatch.from_arrays([ids, pa.array([v for _, v in rows], pa.list_(pa.float64()))], names=["id", "v"])
+    list(maxscore._scan([(0, rows[0][1]), (50, rows[50][1])], 5, 256.0, 8192, 64)([batch]))
+    bare = [x for x in seen if not x[0]]
+    assert sum(x[1] for x in bare) == 2 * 64 and all(x[2] >= 30 for x in seen if x[0])

@@ -4,7 +4,8 @@ Terms are the vector components. In a shard of candidates each term has a bound:
 candidate there, given the query's weight. Sorted by bound, the longest prefix of terms whose bounds together stay below the
 query's k-th best score so far is non-essential: no candidate can get in by those alone. Postings of essential terms are
 traversed for the whole shard; the others are probed, strongest first, for candidates that are still competitive. Shards return
-their own k best and are merged.
+their own k best and are merged. A task's first shard is small (``first``) and each next one twice as large, up to ``shard``: only the
+first is scored without a k-th best score to beat.
 
 Queries are taken in blocks of at most ``block`` rows, so what is sent to the executors is bounded; candidates stay where they
 were read, and no shuffle carries vectors. Scores are integers: double arithmetic is exact below 2**53, and a shard whose bound
@@ -92,7 +93,7 @@ def _plain(q: np.ndarray, qid: int, ids: np.ndarray, postings: np.ndarray, held:
     return np.array([i for _, i in best], np.int64), np.array([-s for s, _ in best], object)
 
 
-def _scan(queries: list[tuple[int, list[float]]], k: int, scale: float, shard: int):
+def _scan(queries: list[tuple[int, list[float]]], k: int, scale: float, shard: int, first: int):
     width = max((len(v) for _, v in queries), default=0)
     qids = [i for i, _ in queries]
     qs = _matrix([np.array(v) for _, v in queries], width, scale).T
@@ -109,17 +110,17 @@ def _scan(queries: list[tuple[int, list[float]]], k: int, scale: float, shard: i
 
     def run(batches):
         held = [(np.zeros(0, np.int64), np.zeros(0))] * len(qids)
-        ids, vectors = [], []
+        ids, vectors, size = [], [], min(first, shard)
         for batch in batches:
             ids.append(batch.column(0).to_numpy())
             col = batch.column(1)
             flat, at = col.flatten().to_numpy(), col.offsets.to_numpy()
             at = at - at[0]
             vectors += [flat[a:b] for a, b in zip(at[:-1], at[1:])]
-            while len(vectors) >= shard:
+            while len(vectors) >= size:
                 every = np.concatenate(ids)
-                solve(every[:shard], vectors[:shard], held)
-                ids, vectors = [every[shard:]], vectors[shard:]
+                solve(every[:size], vectors[:size], held)
+                ids, vectors, size = [every[size:]], vectors[size:], min(2 * size, shard)
         if vectors:
             solve(np.concatenate(ids), vectors, held)
         rows = [(q, int(i), int(s)) for q, (got, scores) in zip(qids, held) for i, s in zip(got, scores)]
@@ -128,7 +129,7 @@ def _scan(queries: list[tuple[int, list[float]]], k: int, scale: float, shard: i
     return run
 
 
-def top_k(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5, scale: float = 256.0, block: int = 4096, shard: int = 8192) -> DataFrame:
+def top_k(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5, scale: float = 256.0, block: int = 4096, shard: int = 8192, first: int = 64) -> DataFrame:
     """(query_id, rank, id, score): the k best candidates of each query, with scores over floor(scale * x).
 
     is_query: a condition over id_col that marks the rows used as queries.
@@ -140,7 +141,7 @@ def top_k(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "
     for b in range(blocks):
         own = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b) if blocks > 1 else asked
         mine = sorted((r[0], list(r[1])) for r in own.collect())  # about block rows
-        found = rows.mapInArrow(_scan(mine, k, scale, shard), "query_id long, id long, score long")
+        found = rows.mapInArrow(_scan(mine, k, scale, shard, first), "query_id long, id long, score long")
         order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
         best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
         parts.append(written(best, "topk") if blocks > 1 else best)
