@@ -1,4 +1,6 @@
+import math
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -44,8 +46,42 @@ def test_scores_are_noisy_or():
     texts = ["bad day.\nfine day. worse", "", "Bad! bad? ok", None]
     p, top = m.scores([T._tokens(t) for t in texts])
     s = lambda z: 1 / (1 + np.exp(-z))
-    assert np.allclose(p, [1 - (1 - s(1)) * (1 - s(-3)) ** 3, s(-3), 1 - (1 - s(1)) ** 2 * (1 - s(-3)), s(-3)])
+    assert np.allclose(p, [1 - (1 - s(1)) * (1 - s(-3)) ** 2, 0, 1 - (1 - s(1)) ** 2 * (1 - s(-3)), 0])
     assert [(x["start"], x["end"]) for x in m.sentences(texts[0], 0.5)] == [(0, 8)]
+    one, lines, blank = (m.scores([T._tokens(t)])[0][0] for t in ("ok. " * 20, "ok.\n" * 20, "\n\n" + "ok.\n\n--\n" * 20 + "\n" * 40))
+    assert one == lines == blank
+
+
+def plain_score(m, text):
+    """Sentence by sentence, word by word."""
+    quiet = 1.0
+    for line in (text or "").lower().split("\n"):
+        found = []
+        for token in [*line.split(), "."]:
+            found += T.features(token)
+            if token[-1] in ".!?":
+                if found:
+                    quiet *= 1 - 1 / (1 + math.exp(-(m.bias + sum(m.weights.get(f, 0.0) for f in found))))
+                found = []
+    return 1 - quiet
+
+
+def test_query_on_the_tables(spark):
+    """Every score against plain Python, and held-out labels."""
+    from txnlake.llm import queries
+
+    at = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    labels = spark.read.parquet(f"{at}/labels.parquet").where("pmod(crc32(cast(cast(doc_id as string) as binary)), 5) <> 0")
+    m = T.train(docs, labels)
+    text = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r for r in queries.op5_toxicity_mil(spark, at).collect()}
+    assert set(got) == set(text)
+    for d, r in got.items():
+        assert abs(r.score - plain_score(m, text[d])) < 1e-6 and r.predicted == int(r.score >= 0.5) and r.held_out == (zlib.crc32(str(d).encode()) % 5 == 0)
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{at}/labels.parquet").collect()}
+    test = [d for d in truth if got[d].held_out]
+    assert np.mean([got[d].predicted == truth[d] for d in test]) > 0.9
 
 
 def test_edges(spark):

@@ -8,9 +8,9 @@ The classifier is fitted on the whole texts of at most ``max_train`` labelled do
 task fits it, whose memory grows with their words. Scoring reads whole texts.
 
 Sentences end at a line break or at a word that ends with . ! or ?. Words are split at white space, lower-cased and stripped of
-punctuation.
+punctuation. What holds no word is no sentence, so blank lines, rules and the layout of a text change nothing.
 
-Rows: null and empty texts have one empty sentence; repeated rows are scored alike; labels for one id that differ count as the
+Rows: null and empty texts have no sentence and score 0; repeated rows are scored alike; labels for one id that differ count as the
 largest; labels that are null or not 0 or 1 are ignored. With no labels of both classes, scores are near 0. An empty table gives no
 rows. Columns other than id and text are ignored.
 """
@@ -30,7 +30,8 @@ ENDS = (".", "!", "?")
 EDGES = re.compile(r"^\W+|\W+$")
 PIECES = re.compile(r"\n|\S+")
 SIZE = 1 << 30  # so wide that words rarely share a feature with one that counts
-MARK = 1e6  # added to the weight of a token that ends a sentence
+WORD = 1024.0  # added to the weight of a token that is a word; weights stay far below
+MARK = float(1 << 20)  # added to that of a token that ends a sentence
 CACHE_ENTRIES = 400_000
 NO_BIAS = -12.0
 
@@ -59,9 +60,9 @@ class Model:
         self.cache: dict[str, float] = {}
 
     def value(self, token: str) -> float:
-        """The token's weight, plus MARK if a sentence ends with it."""
-        get = self.weights.get
-        return sum(get(f, 0.0) for f in features(token)) + (MARK if token.endswith(ENDS) else 0.0)
+        """The token's weight, plus WORD if it is a word and MARK if a sentence ends with it."""
+        get, found = self.weights.get, features(token)
+        return sum(get(f, 0.0) for f in found) + (WORD if found else 0.0) + (MARK if token.endswith(ENDS) else 0.0)
 
     def values(self, docs: list[list[str]]) -> np.ndarray:
         cache = self.cache
@@ -81,32 +82,36 @@ class Model:
         stop = np.cumsum([len(d) for d in docs])
         ends[stop - 1] = True
         last = np.flatnonzero(ends)
-        z = self.bias + np.add.reduceat(v, np.concatenate([[0], last[:-1] + 1]))
+        z = np.add.reduceat(v, np.concatenate([[0], last[:-1] + 1]))
+        words = np.floor(z / WORD + 0.5)
+        z = np.where(words > 0, self.bias + z - WORD * words, -np.inf)
         first = np.searchsorted(last, np.concatenate([[0], stop[:-1]]))
         quiet = np.add.reduceat(-np.logaddexp(0, z), first)  # sum of log(1 - p)
         top = np.maximum.reduceat(z, first)
-        return -np.expm1(quiet), 1 / (1 + np.exp(-np.clip(top, -500, 500)))
+        return 0.0 - np.expm1(quiet), 1 / (1 + np.exp(-np.clip(top, -500, 500)))
 
     def sentences(self, text: str, least: float) -> list[dict]:
         """The sentences with at least that probability: places in code points, end exclusive."""
-        out, start, end, z = [], None, 0, self.bias
+        out, start, end, z, words = [], None, 0, self.bias, 0
 
         def close():
             p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-            if start is not None and p >= least:
+            if words and p >= least:
                 out.append({"start": start, "end": end, "score": float(p)})
 
         for m in PIECES.finditer(text):
             token = m.group().lower()
             if token == "\n":
                 close()
-                start, z = None, self.bias
+                start, z, words = None, self.bias, 0
                 continue
             start, end = m.start() if start is None else start, m.end()
-            z += sum(self.weights.get(f, 0.0) for f in features(token))
+            found = features(token)
+            words += len(found)
+            z += sum(self.weights.get(f, 0.0) for f in found)
             if token.endswith(ENDS):
                 close()
-                start, z = None, self.bias
+                start, z, words = None, self.bias, 0
         close()
         return out
 
@@ -123,10 +128,12 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
             for text in batch.column(2).to_pylist():
                 f, s, new = [], [], True
                 for t in _tokens(text):
-                    if new:
+                    found = features(t)
+                    if new and found:
                         s.append(len(f))
-                    f += features(t)
-                    new = t.endswith(ENDS)
+                        new = False
+                    f += found
+                    new = new or t.endswith(ENDS)
                 feats.append(f)
                 starts.append(s)
             kind = pa.list_(pa.int32())
