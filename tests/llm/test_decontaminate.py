@@ -116,3 +116,30 @@ def test_items_of_all_lengths_together():
     bench = [(n, " ".join(rnd.choice(vocab) for _ in range(n))) for n in (5, 6, 15, 66, 83, 103, 150, 500, 1500)]
     index = D.Index(bench, 0.8, 0.95, 5, 24)
     assert [[x[:2] for x in f] for f in index.search([t for _, t in bench])] == [[(n, 0)] for n, _ in bench]
+
+
+def test_whole_classes_are_exact():
+    """Where walks don't reach the recall, every window that can match is verified."""
+    bench, rnd = items(25, 9), random.Random(8)
+    index = D.Index(bench, 0.8, 2.0, 5, 1)
+    assert all(c.whole for c in index.classes)
+    docs, want = [], []
+    for n in range(60):
+        w = rnd.choice(bench)[1].split()
+        for _ in range(rnd.randint(0, int(0.3 * len(w)))):
+            at, kind = rnd.randrange(len(w)), rnd.randrange(3)
+            w[at : at + (kind != 0)] = ["zz"] if kind != 1 else []
+        noise = [f"n{rnd.randrange(99)}" for _ in range(60)]
+        at = rnd.randrange(60)
+        docs.append(noise[:at] + w + noise[at:])
+        want.append({i: k for i, t in bench if (k := distance(t.split(), docs[-1])) <= int(0.2 * len(t.split()) + 1e-9)})
+    assert [{i: k for i, k, _, _ in f} for f in index.search([" ".join(d) for d in docs])] == want and any(want)
+
+
+def test_scripts_without_spaces_and_places():
+    """Characters count as words where there are no spaces; places hold where lower-casing changes lengths."""
+    index = D.Index([(1, "这是一个用来检查模型能力的问题"), (2, "one two three four five six")], 0.8, 0.95, 5, 24)
+    texts = ["前面有些文字这是一个用来检查模型能力的问题后面也有", "İİ One two three four five six", "今天天气很好我们去公园玩吧"]
+    found = index.search(texts)
+    assert [[x[:2] for x in f] for f in found] == [[(1, 0)], [(2, 0)], []]
+    assert [t[f[0][2] : f[0][3]] for t, f in zip(texts, found) if f] == ["这是一个用来检查模型能力的问题", "One two three four five six"]

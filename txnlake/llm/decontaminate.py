@@ -4,9 +4,12 @@ Items and documents are sequences of lower-case words. The CGK embedding copies
 the step and the word, decides where to advance; sequences at a small edit distance get embeddings at a small Hamming distance.
 Bit-sampling then hashes a few coordinates of the embedding; windows of a document that share a hash with an item are candidates.
 The number of walks is set by trial: items are edited at ``1 - similarity`` of their words, spread out or gathered at either end, and
-walks are added until of each kind the share of edited copies that share a hash with their item reaches ``recall`` (or
-``max_walks``; ``Index.reached`` tells the least). A candidate is verified by the exact edit distance in words of the whole item to
-the best stretch around the window (bit-parallel dynamic programming).
+walks are added until of each kind the share of edited copies that share a hash with their item reaches ``recall``. Items of a size
+that ``max_walks`` walks don't bring there are all candidates of every window that passes the exact test below (``SizeClass.whole``).
+A candidate is verified by the exact edit distance in words of the whole item to the best stretch around the window (bit-parallel
+dynamic programming).
+
+Words are runs of letters, digits and underscores; characters of scripts written without spaces are words of their own.
 
 Items are walked part by part: from the first word of each of q parts in a row, from the middle of each, and from the last place
 where a whole part is left. So every item is covered to its end, however long, and edits gathered in one place, or a document that
@@ -34,7 +37,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WORD = re.compile(r"\w+")
+#: Ranges of Thai to Burmese, Khmer, and Chinese and Japanese scripts.
+SPACELESS = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0002ebef"
+WORD = re.compile(rf"[^\W{SPACELESS}]+|[{SPACELESS}]")
 STEPS = 64
 PART = 15  # least words of a part where an item has several
 OFFSET = 24
@@ -42,7 +47,10 @@ MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    text = text or ""
+    low = text.lower()
+    # where lower-casing changes lengths, words keep their places in the original
+    return WORD.findall(low) if len(low) == len(text) else [w.lower() for w in WORD.findall(text)]
 
 
 def best_stretch(item: list[int], words: list[int]) -> tuple[int, int, int]:
@@ -93,6 +101,7 @@ class SizeClass:
     keys: np.ndarray
     owner: np.ndarray  # item << OFFSET | the part's first word
     bitmap: np.ndarray
+    whole: bool = False  # the walks don't reach the recall: every window is a candidate of every item
 
 
 class Index:
@@ -159,7 +168,8 @@ class Index:
             reached = min(float(hit[kind == x].mean()) for x in np.unique(kind))
             keys.append(k.reshape(-1))
             owner.append(np.tile(label, samples))
-        self.reached = min(self.reached, reached)
+        c.whole = reached < recall
+        self.reached = min(self.reached, 1.0 if c.whole else reached)
         keys, owner = np.concatenate(keys), np.concatenate(owner)
         order = np.argsort(keys, kind="stable")
         c.keys, c.owner = keys[order], owner[order]
@@ -224,6 +234,9 @@ class Index:
         for c in self.classes:
             strange = np.concatenate([[0], np.cumsum(~c.known[flat])])
             starts = np.flatnonzero(strange[c.span : n + c.span][:n] - strange[:n] <= c.budget) if n > 0 else np.zeros(0, np.int64)
+            if c.whole:
+                found += [np.stack([starts, np.full(len(starts), i << OFFSET)]) for i in c.items]
+                continue
             for a in range(0, len(starts), 200_000):
                 part = starts[a : a + 200_000]
                 for walk in range(len(c.samples)):
@@ -280,10 +293,10 @@ class Index:
         for (doc, item), (d, s, e) in sorted(best.items()):
             if doc not in spans:
                 text = texts[doc]
-                # lower-casing may change lengths; then places are looked up word by word in the original
-                spans[doc] = [m.span() for m in WORD.finditer(text.lower())] if len(text.lower()) == len(text) else []
+                low = text.lower()
+                spans[doc] = [m.span() for m in WORD.finditer(low if len(low) == len(text) else text)]
             at = spans[doc]
-            out[doc].append((self.ids[item], d, at[s][0] if at else None, at[e - 1][1] if at and e > s else None))
+            out[doc].append((self.ids[item], d, at[s][0], at[e - 1][1] if e > s else at[s][0]))
         return out
 
 
