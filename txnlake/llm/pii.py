@@ -1,13 +1,16 @@
 """Personal data by weak supervision, in DataFrame expressions only.
 
-Candidates are base matches (fixed patterns with checks) and loose ones: written-out addresses and numbers without a plus sign.
+Candidates are base matches (fixed patterns with checks) and loose ones: written-out mail addresses, IP addresses with bracketed dots,
+card numbers with dots or slashes between groups of four, and telephone numbers without a plus sign.
 Four labelers vote on each candidate: the strict patterns, gazetteers (top-level domains, reserved networks, issuers, calling codes),
 cue words before it, and the characters beside it. Expectation-maximisation over the counts of vote patterns (at most 3**4 rows)
 estimates how reliable each labeler is and so each pattern's probability. With those as soft labels a naive Bayes span classifier is
-trained on the spans' own features; loose candidates that it finds likelier personal than not are added. Base spans always stay.
+trained on the spans' own features, what gazetteers and cue words say of them included; it alone decides: loose candidates that it
+finds likelier personal than not are added. Base spans always stay.
 
-Places are code points, end exclusive, found from the lengths of what lies between matches. Patterns have no nested backtracking, so
-long runs cost time in proportion and no stack; the array of a text's spans is built by appending, which suits thousands of spans.
+Places are code points, end exclusive, found from the lengths of what lies between matches, summed up in runs of RUN matches and then
+over the runs, so that a text of a hundred thousand spans takes seconds. Patterns have no nested backtracking, so long runs cost time
+in proportion and no stack.
 
 Rows: null text counts as empty; repeated rows and null ids are scored alike and kept; texts are searched whole. An empty table
 gives no rows. Columns other than id and text are ignored.
@@ -31,22 +34,33 @@ BASE = {
     "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: What a text must hold for the pattern to be tried.
-HINT = {("b", "email"): ("@",), ("b", "phone"): ("+",), ("l", "email"): ("at",)}
+#: Of these a text must hold one for the pattern to be tried.
+HINT = {("b", "email"): ("@",), ("b", "phone"): ("+",), ("l", "email"): ("at",), ("l", "ip"): ("[", "(")}
 LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|[\[(]dot[\])])\x20?[A-Za-z0-9-]++)++",
+    "ip": r"(?<![0-9.])[0-9]{1,3}(?:\x20?[\[(](?:\.|dot)[\])]\x20?[0-9]{1,3}){3}(?![0-9])",
+    "card": r"(?<![0-9./_-])[0-9]{4}(?:[./_][0-9]{4}){2,3}(?:[./_][0-9]{1,3})?(?![0-9./_-])",
     "phone": r"(?<![A-Za-z0-9.+/_=-])(?:\([0-9]{2,4}\)[\x20.-]?|00[0-9]{2,3}[\x20.-]|[0-9]{3}[.-])[0-9]{3}[\x20.-][0-9]{4}(?![A-Za-z0-9/_=-])",
 }
-TOP_LEVEL = ("com", "org", "net", "edu", "gov", "int", "info", "io", "co", "de", "fr", "es", "uk", "eu", "us", "ch", "at", "it", "nl", "be", "pl", "se")
+#: Endings of mail domains: any of two letters (countries) and these.
+TOP_LEVEL = ("com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "name", "pro", "app", "dev", "cloud", "online", "site", "tech", "shop", "store", "blog", "email", "mobi", "jobs", "coop", "museum", "travel", "cat", "eus")
+#: First digits of card numbers by their issuers.
+ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[0-9]|6)"
+#: Networks that name no host of a person: this network, loopback, documentation, multicast and above.
+NO_HOST = r"^(?:0|127|22[4-9]|23[0-9]|24[0-9]|25[0-9])\D|^192\D+0\D+2\D|^198\D+51\D+100\D|^203\D+0\D+113\D"
+#: Numbers set aside for fiction or made of one digit.
+NO_PHONE = r"^0{3}|^(.)\1+$|555[-. ]?01\d\d$|^0?123456789"
+RUN = 256
 CUES = {
     "email": r"(?i)(?:e-?mail|mail|contact|write|correo|courriel|adresse)\W*$",
     "ip": r"(?i)(?:\bip|host|server|address|client|login|from)\W*$",
-    "card": r"(?i)(?:card|visa|credit|carte|karte|tarjeta|account)\W*$",
+    "card": r"(?i)(?:card|visa|mastercard|amex|credit|debit|carte|karte|tarjeta|account)(?:\s*(?:no|number|nummer|n°))?\W*$",
     "phone": r"(?i)(?:phone|tel|call|mobile|fax|cell|telefon|móvil)\W*$",
 }
 AGAINST = r"(?i)(?:version|isbn|order|invoice|item|page|section|build|rev|id|no|nr|#)\W*$"
 LABELERS = ("strict", "gazetteer", "context", "beside")
-FEATURES = ("kind", "size", "digits", "left", "right")
+FEATURES = ("gazetteer", "context", "size", "digits", "left", "right")
+
 
 
 def _located(text: Column, pattern: str, matches: Column) -> Column:
@@ -54,6 +68,8 @@ def _located(text: Column, pattern: str, matches: Column) -> Column:
     between = F.split(text, pattern, -1)
     n = F.size(matches)
     rows = F.arrays_zip(F.slice(between, 1, n).alias("before"), matches.alias("s"), F.slice(between, 2, n).alias("after"))
+    # outer lambdas bind what inner ones use, so that it is made once
+    runs = F.transform(F.array(rows), lambda all_rows: F.transform(F.sequence(F.lit(0), F.floor((F.size(all_rows) - 1) / RUN).cast("int")), lambda i: F.slice(all_rows, i * RUN + 1, F.lit(RUN))))[0]
     empty = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start: int, end: int, s: string, left: string, right: string>>)").alias("out"))
 
     def step(acc, x):
@@ -62,7 +78,14 @@ def _located(text: Column, pattern: str, matches: Column) -> Column:
         span = F.struct(start.alias("start"), end.alias("end"), x["s"].alias("s"), F.substring(x["before"], -24, 24).alias("left"), F.substring(x["after"], 1, 1).alias("right"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    return F.aggregate(rows, empty, step, lambda acc: acc["out"])
+    def moved(run, by):
+        return F.transform(run["out"], lambda x: F.struct((x["start"] + by).alias("start"), (x["end"] + by).alias("end"), x["s"].alias("s"), x["left"].alias("left"), x["right"].alias("right")))
+
+    def placed(done):
+        first = F.aggregate(done, F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out")), lambda acc, r: F.struct((acc["at"] + r["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+        return F.flatten(F.zip_with(done, first, moved))
+
+    return F.transform(F.array(F.transform(runs, lambda r: F.aggregate(r, empty, step))), placed)[0]
 
 
 def _luhn(digits: Column) -> Column:
@@ -80,7 +103,7 @@ def _passes(kind: str, s: Column) -> Column:
     digits = F.regexp_replace(s, "[^0-9]", "")
     if kind == "ip":
         bare = lambda p: F.regexp_replace(p, "^0+", "")
-        return F.forall(F.split(s, r"\."), lambda p: (F.length(bare(p)) <= 3) & (F.coalesce(bare(p).try_cast("int"), F.lit(0)) <= 255))
+        return F.forall(F.split(F.regexp_replace(s, "[^0-9]+", "."), r"\."), lambda p: (F.length(bare(p)) <= 3) & (F.coalesce(bare(p).try_cast("int"), F.lit(0)) <= 255))
     if kind == "card":
         return F.when(F.length(digits).between(12, 19), _luhn(digits)).otherwise(F.lit(False))
     if kind == "phone":
@@ -98,13 +121,14 @@ def _described(spans: Column, kind: str, strict: bool) -> Column:
     def describe(x):
         s, digits = x["s"], F.regexp_replace(x["s"], "[^0-9]", "")
         if kind == "email":
-            known = F.lower(F.regexp_extract(s, r"([A-Za-z0-9-]+)$", 1)).isin(*TOP_LEVEL)
+            end = F.lower(F.regexp_extract(s, r"([A-Za-z0-9-]+)$", 1))
+            known = end.rlike("^[a-z]{2}$") | end.isin(*TOP_LEVEL)
         elif kind == "ip":
-            known = ~F.regexp_extract(s, r"^([0-9]+)", 1).isin("0", "127", "255")
+            known = ~F.concat(s, F.lit(" ")).rlike(NO_HOST)
         elif kind == "card":
-            known = F.substring(digits, 1, 1).isin("3", "4", "5", "6")
+            known = digits.rlike(ISSUERS)
         else:
-            known = ~digits.rlike("^0{3}|^(.)\\1+$")
+            known = ~digits.rlike(NO_PHONE)
         near = F.substring(x["left"], -1, 1)
         glued = near.rlike(r"[\p{L}\p{N}_=/\"'-]") | x["right"].rlike(r"[\p{L}\p{N}_=/\"'@-]")
         context = F.when(x["left"].rlike(CUES[kind]), 1).when(x["left"].rlike(AGAINST), -1).otherwise(0)
@@ -130,8 +154,8 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for kind, pattern in patterns.items():
             name = f"_{label}_{kind}"
             found = F.regexp_extract_all("_text", F.lit(pattern), 0)
-            for hint in HINT.get((label, kind), ()):
-                found = F.when(F.contains("_text", F.lit(hint)), found)
+            if hints := HINT.get((label, kind)):
+                found = F.when(reduce(lambda x, y: x | y, (F.contains("_text", F.lit(h)) for h in hints)), found)
             df = df.withColumn(name, found)
             names.append((name, kind, pattern, label == "b"))
     none = F.expr("cast(null as array<struct<start: int, end: int, s: string, left: string, right: string>>)")
@@ -139,7 +163,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         df = df.withColumn(name, F.when(F.size(name) > 0, _located(F.col("_text"), pattern, F.col(name))).otherwise(none))
     parts = {True: [], False: []}
     for name, kind, pattern, strict in names:
-        kept = F.filter(F.col(name), _checked(kind)) if strict else F.col(name)
+        kept = F.filter(F.col(name), _checked(kind))
         parts[strict].append(F.coalesce(_described(kept, kind, strict), F.array()))
     base, loose = F.concat(*parts[True]), F.concat(*parts[False])
     df = df.select(id_col, base.alias("base"), loose.alias("loose"))
@@ -174,35 +198,38 @@ def reliabilities(patterns: list[tuple[tuple[int, ...], float]], rounds: int = 5
 
 
 def train(spans: DataFrame) -> dict:
-    """The span classifier from (base, loose): log odds of the prior and of each feature value."""
+    """The span classifier from (base, loose): for each kind, log odds of the prior and of each feature value."""
     flat = spans.select(F.explode(F.concat("base", "loose")).alias("x"))
-    keys = [F.col(f"x.{c}").alias(c) for c in (*LABELERS, *FEATURES)]
+    names = list(dict.fromkeys([*LABELERS, "kind", *FEATURES]))
     # 3**4 vote patterns times the few values of each feature, whatever the input
-    rows = [tuple(r) for r in flat.groupBy(*keys).count().collect()]
+    rows = [(r.asDict(), r["count"]) for r in flat.groupBy(*[F.col(f"x.{c}").alias(c) for c in names]).count().collect()]
     votes: dict[tuple[int, ...], float] = {}
-    for r in rows:
-        votes[r[:4]] = votes.get(r[:4], 0) + r[-1]
+    for r, n in rows:
+        key = tuple(r[c] for c in LABELERS)
+        votes[key] = votes.get(key, 0) + n
     prior, tables, post = reliabilities(sorted(votes.items()))
-    weight: dict[tuple[str, str], list[float]] = {}
-    for r in rows:
-        for f, value in zip(FEATURES, r[4:-1]):
-            w = weight.setdefault((f, value), [1.0, 1.0])
-            w[1] += r[-1] * post[r[:4]]
-            w[0] += r[-1] * (1 - post[r[:4]])
-    total = [sum(n * (post[v] if c else 1 - post[v]) for v, n in votes.items()) + 2 for c in (0, 1)]
-    odds = {k: math.log((w[1] / total[1]) / (w[0] / total[0])) for k, w in weight.items()}
-    return {"prior": math.log(prior / (1 - prior)), "features": odds, "reliabilities": dict(zip(LABELERS, tables)), "patterns": post}
+    weight: dict[tuple, list[float]] = {}
+    # pseudo-counts in the proportion of the classes: what is hardly seen hardly counts
+    start = [2 * (1 - prior), 2 * prior]
+    total = {kind: list(start) for kind in KINDS}
+    for r, n in rows:
+        p = post[tuple(r[c] for c in LABELERS)]
+        for w in (total[r["kind"]], *(weight.setdefault((r["kind"], f, r[f]), list(start)) for f in FEATURES)):
+            w[1] += n * p
+            w[0] += n * (1 - p)
+    odds = {(k, f, v): math.log((w[1] / total[k][1]) / (w[0] / total[k][0])) for (k, f, v), w in weight.items()}
+    return {"priors": {k: math.log(t[1] / t[0]) for k, t in total.items()}, "features": odds, "reliabilities": dict(zip(LABELERS, tables)), "patterns": post}
 
 
 def _log_odds(x: Column, model: dict) -> Column:
-    out = F.lit(model["prior"])
-    for f in FEATURES:
-        values = [(v, w) for (g, v), w in model["features"].items() if g == f]
-        out = out + reduce(lambda acc, p: F.when(x[f] == p[0], F.lit(p[1])).otherwise(acc), values, F.lit(0.0))
-    # the labelers' own evidence on this span
-    for name, table in model["reliabilities"].items():
-        out = out + reduce(lambda acc, v: F.when(x[name] == v, F.lit(math.log(table[v, 1] / table[v, 0]))).otherwise(acc), (-1, 0, 1), F.lit(0.0))
-    return out
+    def of_kind(kind: str) -> Column:
+        out = F.lit(model["priors"][kind])
+        for f in FEATURES:
+            values = [(v, w) for (k, g, v), w in model["features"].items() if (k, g) == (kind, f)]
+            out = out + reduce(lambda acc, p: F.when(x[f] == p[0], F.lit(p[1])).otherwise(acc), values, F.lit(0.0))
+        return out
+
+    return reduce(lambda acc, kind: F.when(x["kind"] == kind, of_kind(kind)).otherwise(acc), KINDS, F.lit(0.0))
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
