@@ -120,7 +120,8 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     """(id, y, f, s): label, features and sentence starts of the chosen documents, of which there are at most max_train for each class."""
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_y"))
     parts = [known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(max_train) for y in (0, 1)]
-    rows = docs.join(F.broadcast(parts[0].unionByName(parts[1])), F.col(id_col) == F.col("_id")).select("_id", "_y", F.col(text_col).alias("_text"))
+    own = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
+    rows = own.join(F.broadcast(parts[0].unionByName(parts[1])), F.col("_doc") == F.col("_id")).select("_id", "_y", "_text")
 
     def run(batches):
         for batch in batches:
