@@ -10,6 +10,12 @@ from txnlake.llm import simhash_trie as S
 from txnlake.llm.components import components
 
 
+def shingles(text, k):
+    """The set of a text's shingles; of fewer words the whole sequence, of none one that all such texts share."""
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} or {tuple(w)}
+
+
 def fingerprint(text, k=3):
     w = (text or "").encode().lower().split()
     if not w:
@@ -110,3 +116,31 @@ def test_unlike_finds_what_three_bits_miss(spark):
     left = sum(r.doc_id in near for r in S.representatives(df).collect())
     assert left > len(near) // 3
     assert S.unlike(df.limit(0)).count() == 0
+
+
+def test_nodes_are_opened_until_small(spark):
+    """A cluster alike in its first bits, far greater than a node may be: no unit stays too great, and no link is lost."""
+    rnd = random.Random(2)
+    f = {rnd.getrandbits(22) | 0xABCDE << 44 for _ in range(3000)} | {rnd.getrandbits(64) for _ in range(200)}
+    f = sorted(f)
+    df = spark.createDataFrame([(x - (1 << 64) * (x >> 63),) for x in f], "fp long")
+    units = S.units_of(df, 3, 100, 6)
+    assert units.groupBy("trie", "depth", "s", "t").count().where("count > 100 and depth < 64").count() == 0
+    assert units.select("depth").distinct().count() > 2
+    root = {r.node % 2**64: r.root % 2**64 for r in components(S.links(df, 3, 100), "a", "b").collect()}
+    got, want = defaultdict(set), defaultdict(set)
+    for x, r in zip(f, roots(f)):
+        want[r].add(x)
+        got[root.get(x, x)].add(x)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_names_that_clash(spark):
+    df = spark.createDataFrame([(1, "one two three four five six"), (2, "one two three four five six"), (3, "x")], "doc_id long, text string")
+    for name in ("_id", "_key", "id", "key", "fp", "bands"):
+        df = df.withColumn(name, F.lit(name))
+    for f in (S.representatives, S.unlike):
+        out = f(df)
+        assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == [1, 3]
+        assert {r["_id"] + r["key"] for r in out.collect()} == {"_idkey"}
+        assert f(df, small=0).count() == 2
