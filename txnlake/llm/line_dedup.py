@@ -1,194 +1,230 @@
 """Fuzzy line deduplication in DataFrame expressions only.
 
-1. Lines are lower-cased and reduced to letters, digits and single spaces. Lines of fewer than ``min_words`` words are never dropped.
+1. Lines are lower-cased and reduced to words of letters and digits. In lines that take two bytes of UTF-8 or more a character, each
+   character of a script written without spaces is a word of its own. Lines of fewer than ``min_words`` words are never dropped.
 2. Equal normalised lines become one (told apart by two 64-bit hashes), represented by their first occurrence.
-3. Each gets a 64-bit SimHash of its different words. Byte-wide counters in eight longs add up the bits of up to CHUNK words at a time.
-4. Pairs within ``budget`` differing bits agree on all but ``budget`` of b blocks. They are joined on each choice of b - budget
-   blocks, and only under the first choice that fits, so none comes twice. b grows with the number of distinct lines so that the
-   lines that share a key by chance stay few; every b finds the same pairs. Variants of one line are many and all alike, so lines
-   next to each other in sorted order are linked and grouped first, and the join leaves out pairs of one group: they can't change
-   what is connected, and the pairs of a group of n variants are not all made.
-5. A pair is linked if the edit similarity of its normalised lines is at least ``similarity``: by characters, or for lines over
-   ``long_line`` characters by words (each word as one code point of its hash).
+3. Each gets a SimHash of its words of 60 bits, in which every word that begins with a digit counts as 0. The bits are laid out in
+   BLOCKS blocks, and a word votes on the bits of one block only, chosen by its hash. So a word that is replaced touches two blocks at
+   most, one that is added or left out one, and a number replaced by another none; the other blocks keep their bits and their numbers
+   of words.
+4. Lines are candidates if two blocks (TAKEN of BLOCKS, by the pigeonhole principle enough for any one word) agree in bits and number
+   of words, hold ``least_shared`` words or more and a quarter of each line's, and if the whole SimHashes differ in ``budget`` bits at
+   most. Each pair of blocks is a key. The lines of a key are first compared with its head, the one of least hash, and those linked
+   form groups; then only the pairs of different groups are left. So the n * n pairs of a line's n variants are never made.
+5. A pair is linked if the edit similarity of its normalised lines, counted in words (each as one code point of its hash, of 2**19),
+   is at least ``similarity``. All lines are compared alike, whatever their length.
 6. Of each connected group the first occurrence stays: the least (id, hash of text, line number).
 
-Only lines in candidate pairs have their text joined; it is filtered by a broadcast of their hashes where they are counted to be
-few, otherwise by a shuffled join.
+Only lines in candidate pairs have their texts read again and compared. Places are broadcast where they are counted to be few
+(``small``), otherwise joined by a shuffle, in which adaptive execution splits hot keys.
 
 A pair is named by the lines' first hash; lines that shared it by accident would be compared too, each by its own text.
 
 Rows: null text counts as empty and has one empty line; a null id sorts first; rows with equal id and text are one document and
-share its decisions; ties go by the order above. Ids are longs. An empty table gives no rows. Columns other than id and text are
-ignored (kept_lines) or passed on (deduplicated).
+share its decisions; ties go by the order above. Ids may be of any orderable type. An empty table gives no rows. Columns other than
+id and text are ignored (report) or passed on whatever their names (deduplicated).
 """
 
 from __future__ import annotations
 
 import itertools
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnlake.llm.components import components
-from txnlake.llm.store import written
+from txnlake.llm.store import fresh, release, written
 
 LANES = 0x0101010101010101
-WIDE = 0x0001000100010001
+BLOCKS, TAKEN = 5, 2
+WIDTH = 12  # bits of a block, and of its number of words
+FULL = (1 << WIDTH) - 1
 CHUNK = 127
-NO_ID = -(1 << 63)
+SEPARATORS = r"[^\p{L}\p{N}]+"
+SPACELESS = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
 
 
-def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+def _spaced(low: Column) -> Column:
+    return F.when(F.octet_length(low) >= 2 * F.length(low), F.regexp_replace(low, SPACELESS, " $1 ")).otherwise(low)
 
 
-def _long(n: int) -> str:
-    return f"{n - (1 << 64)}L" if n >= 1 << 63 else f"{n}L"
+def normalised(line: Column) -> Column:
+    return F.trim(F.regexp_replace(_spaced(F.lower(line)), SEPARATORS, " "))
 
 
-def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(d, t, line, row, words, h1, h2, norm): a row for each line; d and t tell documents apart, row every row."""
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(d, t, text): d and t tell documents apart."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("d"), F.xxhash64(text).alias("t"), F.posexplode(F.split(text, "\n")).alias("line", "raw"))
-    rows = rows.select("d", "t", "line", normalised(F.col("raw")).alias("norm"))
-    words = F.when(F.col("norm") == "", 0).otherwise(F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) + 1)
-    return rows.select("d", "t", "line", F.monotonically_increasing_id().alias("row"), words.alias("words"), F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"), "norm")
+    return docs.select(F.col(id_col).alias("d"), F.xxhash64(text).alias("t"), text.alias("text"))
 
 
-def simhashes(lines: DataFrame) -> DataFrame:
-    """(d, t, line, h1, h2, fp): the bitwise majority of the hashes of a line's different words.
-
-    Words are exploded and summed in eight longs of eight byte-wide counters, the k-th of the bits k, k + 8, ..., for up to CHUNK words
-    of a line at a time; the sums are complete before the shuffle, as a line's words are in one task.
-    """
-    keys = ["d", "t", "line", "row", "h1", "h2"]
+def _count(block: int) -> str:
+    return f"(shiftrightunsigned(m, {WIDTH * block}) & {FULL})"
 
-    def summed(part: DataFrame) -> DataFrame:
-        w = part.select(*keys, F.posexplode(F.array_distinct(F.split("norm", " "))).alias("at", "word"))
-        w = w.select(*keys, F.expr(f"at div {CHUNK}").alias("chunk"), F.xxhash64("word").alias("h"))
-        return w.groupBy(*keys, "chunk").agg(F.count("*").alias("m"), *[F.sum(F.expr(f"shiftrightunsigned(h, {k}) & {LANES}L")).alias(f"l{k}") for k in range(8)])
 
-    # a counter exceeds half exactly if adding 127 - m div 2 sets its top bit
-    half = lambda k, by: f"shiftrightunsigned(((shiftrightunsigned(l{k}, {by}) & {WIDE * 255}L) + (127 - m div 2) * {WIDE}L) & {WIDE * 128}L, 7)"
-    few = " | ".join(f"shiftleft({half(k, 0)} | shiftleft({half(k, 8)}, 8), {k})" for k in range(8))
-    short = summed(lines.where(F.col("words") <= CHUNK)).withColumn("fp", F.expr(few))
-    # longer lines: one row for each chunk, whose counters are taken apart and summed
-    votes = [F.sum(F.expr(f"shiftrightunsigned(l{b % 8}, {b - b % 8}) & 255L")).alias(f"v{b}") for b in range(64)]
-    long = summed(lines.where(F.col("words") > CHUNK)).groupBy(*keys).agg(F.sum("m").alias("m"), *votes)
-    bits = " | ".join(f"if(2 * v{b} > m, {_long(1 << b)}, 0L)" for b in range(64))
-    long = long.withColumn("fp", F.expr(bits))
-    own = ["d", "t", "line", "h1", "h2", "fp"]
-    return short.select(*own).unionByName(long.select(*own))
+def _majority() -> str:
+    """SQL for the fingerprint from the counters l0 to l7 and m.
 
+    Byte j of counter k is bit k + 8 * j. In 16-bit lanes, a counter exceeds half of m exactly if adding 127 - m div 2 sets bit 7.
+    """
 
-def blocks_for(lines: int, budget: int, crowd: int = 64, spread: float = 0.6) -> int:
-    """The least number of blocks at which about `crowd` of the lines, or fewer, share a key by chance.
+    def half(k: int, by: int) -> str:
+        adds = []
+        for i in range(BLOCKS):
+            lanes = sum(1 << 16 * j for j in range(4) if (k + 16 * j + by) // WIDTH == i)
+            if lanes:
+                adds.append(f"(127 - {_count(i)} div 2) * {lanes}L")
+        votes = f"(shiftrightunsigned(l{k}, {by}) & {0x00FF00FF00FF00FF}L)"
+        return f"shiftrightunsigned(({' + '.join([votes, *adds])}) & {0x0080008000800080}L, 7)"
 
-    Frequent words are in most lines, so of a key's bits about the share `spread` tells lines apart.
-    """
-    b = budget + 1
-    while b < budget + 6 and lines > crowd * 2 ** (spread * 64 * (b - budget) / b):
-        b += 1
-    return b
+    return " | ".join(f"shiftleft({half(k, 0)} | shiftleft({half(k, 8)}, 8), {k})" for k in range(8))
 
 
-def neighbour_pairs(lines: DataFrame, budget: int) -> DataFrame:
-    """(a, b): lines next to each other when sorted by fingerprint, from each block on in turn, within budget bits.
+def simhashes(texts: DataFrame, min_words: int) -> DataFrame:
+    """(d, t, line, words, h1, h2, fp, m) of the lines of (d, t, text) with min_words words or more.
 
-    At most budget + 1 pairs for each line; groups of many variants are joined up by these.
+    h1 and h2 are two 64-bit hashes of the sequence of words, fp is its SimHash and m has the numbers of words in its blocks, WIDTH bits
+    each and FULL at most. Words are exploded and summed in eight longs of eight byte-wide counters, the k-th of the bits k, k + 8, ...,
+    for up to CHUNK words of a line at a time; the sums are complete before the shuffle, as a line's words are in one task. Words that
+    begin with a digit vote as 0.
     """
-    width = 64 // (budget + 1)
-    turns = F.array(*[F.lit(r * width) for r in range(budget + 1)])
-    laid = lines.select("h1", "fp", F.explode(turns).alias("turn"))
-    laid = laid.withColumn("v", F.expr("if(turn = 0, fp, shiftleft(fp, turn) | shiftrightunsigned(fp, 64 - turn))")).withColumn("top", F.expr(f"shiftrightunsigned(v, {64 - width})"))
-    w = Window.partitionBy("turn", "top").orderBy("v", "h1")
-    near = F.bit_count(F.col("v").bitwiseXOR(F.lag("v").over(w))) <= budget
-    return laid.select(F.lag("h1").over(w).alias("a"), F.col("h1").alias("b"), near.alias("near")).where("near").select("a", "b").distinct()
-
-
-def candidate_pairs(lines: DataFrame, budget: int, blocks: int) -> DataFrame:
-    """(a, b): hashes h1 of lines of different groups (column g) whose fingerprints fp differ in at most budget bits, each pair once."""
-    edges = [round(64 * i / blocks) for i in range(blocks + 1)]
-    masks = [((1 << edges[i + 1]) - (1 << edges[i])) for i in range(blocks)]
-    signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
-    choices = list(itertools.combinations(range(blocks), blocks - budget))
-    keys = F.array(*[F.col("fp").bitwiseAND(F.lit(reduce(lambda x, y: x | y, (signed[i] for i in c))).cast("long")) for c in choices])
-    laid = lines.select("h1", "fp", "g", F.posexplode(keys).alias("choice", "key"))
-    a, b = laid.alias("a"), laid.alias("b")
-    differs = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
-    first = []
+    keys = ["d", "t", "row", "line"]
+    w = texts.select("d", "t", F.monotonically_increasing_id().alias("row"), "text").select("d", "t", "row", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
+    # as a generator's output the words are split once, however often they are looked at
+    w = w.select(*keys, F.lower("raw").alias("low")).select(*keys, F.explode(F.array(F.split(_spaced(F.col("low")), SEPARATORS))).alias("all"))
+    # separators at the ends leave an empty string there
+    lead = F.when(F.get("all", F.lit(0)) == "", 1).otherwise(0)
+    tail = F.when((F.size("all") > 1) & (F.element_at("all", -1) == ""), 1).otherwise(0)
+    w = w.select(*keys, lead.alias("lead"), (F.size("all") - lead - tail).alias("words"), "all").where(F.col("words") >= min_words)
+    w = w.select(*keys, "lead", "words", F.posexplode("all").alias("at", "word")).where("word <> ''")
+    w = w.select(*keys, "words", (F.col("at") - F.col("lead")).alias("at"), F.xxhash64("word").alias("own"), F.expr("if(word < ':', xxhash64('0'), xxhash64(word))").alias("h"))
+    block = F.expr(f"{WIDTH} * cast(shiftrightunsigned(shiftrightunsigned(h, 48) * {BLOCKS}, 16) as int)")
+    w = w.select(*keys, "words", F.expr(f"at div {CHUNK}").alias("chunk"), F.xxhash64("own", "at").alias("x1"), F.xxhash64("at", "own").alias("x2"), "h", block.alias("at"))
+    w = w.select(*keys, "words", "chunk", "x1", "x2", F.expr(f"h & shiftleft({FULL}L, at)").alias("v"), F.expr("shiftleft(1L, at)").alias("one"))
+    # the number of words is no grouping key, so that the two filters below stay above the sums and share them
+    sums = [F.sum(F.expr(f"shiftrightunsigned(v, {k}) & {LANES}L")).alias(f"l{k}") for k in range(8)]
+    w = w.groupBy(*keys, "chunk").agg(F.max("words").alias("words"), F.bit_xor("x1").alias("h1"), F.bit_xor("x2").alias("h2"), F.sum("one").alias("m"), *sums)
+    own = ["d", "t", "line", "words", "h1", "h2", "fp", "m"]
+    short = w.where(F.col("words") <= CHUNK).withColumn("fp", F.expr(_majority())).select(*own)
+    # longer lines: one row for each chunk, whose counters are taken apart and summed
+    votes = [F.sum(F.expr(f"shiftrightunsigned(l{b % 8}, {b - b % 8}) & 255L")).alias(f"v{b}") for b in range(BLOCKS * WIDTH)]
+    totals = [F.sum(F.expr(_count(i))).alias(f"m{i}") for i in range(BLOCKS)]
+    long = w.where(F.col("words") > CHUNK).groupBy(*keys).agg(F.max("words").alias("words"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2"), *totals, *votes)
+    bits = " | ".join(f"if(2 * v{b} > m{b // WIDTH}, {1 << b}L, 0L)" for b in range(BLOCKS * WIDTH))
+    m = " | ".join(f"shiftleft(least(m{i}, {FULL}L), {WIDTH * i})" for i in range(BLOCKS))
+    return short.unionByName(long.select(*own[:-2], F.expr(bits).alias("fp"), F.expr(m).alias("m")))
+
+
+def keyed(lines: DataFrame, least_shared: int, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(key, h1, *extra): a row for each line (h1, words, fp, m) and pair of blocks that holds enough of its words."""
+    choices = list(itertools.combinations(range(BLOCKS), TAKEN))
+    parts = []
     for n, c in enumerate(choices):
-        earlier = [i for i in range(max(c)) if i not in c]
-        first.append(reduce(lambda x, y: x & y, (differs.bitwiseAND(F.lit(signed[i]).cast("long")) != 0 for i in earlier), F.col("a.choice") == n))
-    on = (F.col("a.choice") == F.col("b.choice")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.h1") < F.col("b.h1")) & (F.col("a.g") != F.col("b.g")) & (F.bit_count(differs) <= budget)
-    return a.join(b, on & reduce(lambda x, y: x | y, first)).select(F.col("a.h1").alias("a"), F.col("b.h1").alias("b"))
+        bits, held = sum(FULL << WIDTH * i for i in c), " + ".join(map(_count, c))
+        enough = f"{held} >= {least_shared} AND 4 * ({held}) >= least(words, {FULL})"
+        parts.append(F.expr(f"if({enough}, xxhash64({n}, fp & {bits}L, m & {bits}L), null)"))
+    return lines.select(F.explode(F.array(*parts)).alias("key"), "h1", *extra).where("key IS NOT NULL")
 
 
 def _symbols(norm: str) -> str:
     """SQL for a string with one code point for each word."""
-    return f"decode(unhex(array_join(transform(split({norm}, ' '), w -> lpad(hex(pmod(xxhash64(w), 50000) + 256), 4, '0')), '')), 'UTF-16BE')"
-
-
-def similar(similarity: float, long_line: int) -> Column:
-    def within(a: str, b: str) -> str:
-        limit = f"cast(floor({1 - similarity:.6f} * greatest(length({a}), length({b})) + 1e-9) as int)"
-        return f"levenshtein({a}, {b}, {limit}) >= 0"
-
-    return F.expr(f"case when greatest(length(na), length(nb)) <= {long_line} then {within('na', 'nb')} else {within(_symbols('na'), _symbols('nb'))} end")
-
-
-def verified(pairs: DataFrame, lines: DataFrame, similarity: float, long_line: int, small: int) -> DataFrame:
-    """The pairs whose lines (h1, norm) are similar."""
-    members = written(pairs.select(F.col("a").alias("h1")).unionByName(pairs.select(F.col("b").alias("h1"))).distinct(), "members")
-    few = members.limit(small + 1).count() <= small
-    texts = lines.select("h1", "h2", "norm").join(F.broadcast(members) if few else members, "h1", "left_semi").groupBy("h1", "h2").agg(F.first("norm").alias("norm"))
-    texts = written(texts, "member_texts")
-    a = texts.select(F.col("h1").alias("a"), F.col("norm").alias("na"))
-    b = texts.select(F.col("h1").alias("b"), F.col("norm").alias("nb"))
-    return written(pairs.join(a, "a").join(b, "b").where(similar(similarity, long_line)).select("a", "b"), "linked")
-
-
-def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5, budget: int = 3, similarity: float = 0.8, long_line: int = 200, small: int = 200_000) -> DataFrame:
-    """(d, t, kept): the sorted numbers of the lines that stay, for every document with any."""
-    lines = written(line_table(docs, id_col, text_col), "lines")
-    fit = lines.where(F.col("words") >= min_words)
-    first = simhashes(fit).groupBy("h1", "h2").agg(F.min(F.struct("d", "t", "line")).alias("first"), F.min("fp").alias("fp"))
-    first = written(first, "distinct_lines")
-    # variants of one line are first joined up by neighbours; then only pairs of different groups are left to find
-    linked = verified(written(neighbour_pairs(first, budget), "neighbours"), fit, similarity, long_line, small)
+    return f"decode(unhex(array_join(transform(split({norm}, ' '), w -> concat('000', hex(pmod(xxhash64(w), 524288) + 65536))), '')), 'UTF-32')"
+
+
+def _small(df: DataFrame, small: int) -> DataFrame:
+    """A table to be broadcast if it is counted to be of small rows at most; otherwise joined by a shuffle."""
+    return F.broadcast(df) if df.limit(small + 1).count() <= small else df
+
+
+def _placed(known: DataFrame, firsts: DataFrame) -> DataFrame:
+    """known with the place of each line's first occurrence."""
+    return known.join(firsts, ["h1", "h2"], "left").withColumn("first", F.coalesce("first", F.struct("d", "t", "line")))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, known: DataFrame, firsts: DataFrame, similarity: float, small: int) -> DataFrame:
+    """The pairs whose lines are similar; each line's text is read where it occurs first."""
+    members = written(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "pair_lines")
+    place = _placed(known.join(_small(members, small), "h1", "left_semi"), firsts).select("h1", "first.*")
+    wanted = written(place.groupBy("d", "t").agg(F.collect_list(F.struct("line", "h1")).alias("wanted")), "members")
+    wanted = _small(wanted.withColumnsRenamed({"d": "of", "t": "key"}), small // 4)
+    found = texts.join(wanted, (F.col("t") == F.col("key")) & F.col("d").eqNullSafe(F.col("of")))
+    found = found.select("wanted", F.split("text", "\n").alias("lines"))
+    raw = F.explode(F.transform("wanted", lambda x: F.struct(x["h1"].alias("h1"), F.get("lines", x["line"]).alias("raw")))).alias("x")
+    found = found.select(raw).select("x.h1", normalised(F.col("x.raw")).alias("norm"))
+    found = written(found.select("h1", F.expr(_symbols("norm")).alias("s")), "member_texts")
+    both = pairs.join(found.select(F.col("h1").alias("a"), F.col("s").alias("sa")), "a").join(found.select(F.col("h1").alias("b"), F.col("s").alias("sb")), "b")
+    edits = f"cast(floor({1 - similarity:.6f} * greatest(length(sa), length(sb)) + 1e-9) as int)"
+    out = written(both.where(f"levenshtein(sa, sb, {edits}) >= 0").select("a", "b"), "linked")
+    release(found)
+    return out
+
+
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5, least_shared: int = 3, budget: int = 14, similarity: float = 0.8, small: int = 1_000_000) -> DataFrame:
+    """(d, t, gone): the sorted numbers of the lines that go, for every document with any."""
+    texts = _texts(docs, id_col, text_col)
+    lines = written(simhashes(texts, min_words), "lines")
+    place = F.struct("d", "t", "line")
+    known = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), *[F.min(c).alias(c) for c in ("d", "t", "line", "words", "fp", "m")])
+    known = written(known, "distinct_lines")
+    # all occurrences of lines that repeat, to find the first
+    repeated = _small(known.where("n > 1").select("h1", "h2"), small)
+    again = written(lines.select("h1", "h2", "d", "t", "line").join(repeated, ["h1", "h2"]), "repeated")
+    release(lines)
+    firsts = _small(written(again.groupBy("h1", "h2").agg(F.min(place).alias("first")), "firsts"), small // 2)
+    # what a key's head is like comes first; then only pairs of different groups are left to find
+    laid = lambda *extra: keyed(known.select("h1", "words", "fp", "m"), least_shared, extra)
+    shared = laid().groupBy("key").agg(F.min("h1").alias("head"), F.max("h1").alias("last")).where("head <> last").select("key", "head")
+    shared = written(shared, "shared_keys")
+    buckets = written(laid("fp", "words").join(_small(shared, small), "key"), "buckets")
+    # words that one line has more of are edits
+    near = lambda fa, fb, na, nb: (F.bit_count(F.col(fa).bitwiseXOR(F.col(fb))) <= budget) & (F.abs(F.col(na) - F.col(nb)) <= (1 - similarity) * F.greatest(na, nb) + 1e-9)
+    heads = buckets.where("h1 = head").select("key", F.col("fp").alias("hf"), F.col("words").alias("hw"))
+    stars = buckets.where("h1 <> head").join(heads, "key").where(near("fp", "hf", "words", "hw"))
+    stars = written(stars.select(F.col("head").alias("a"), F.col("h1").alias("b")).distinct(), "stars")
+    linked = verified(stars, texts, known, firsts, similarity, small)
     groups = written(components(linked, "a", "b"), "groups").withColumnsRenamed({"node": "h1", "root": "g"})
-    known = first.select("h1", "fp").join(groups, "h1", "left").select("h1", "fp", F.coalesce("g", "h1").alias("g"))
-    pairs = written(candidate_pairs(known, budget, blocks_for(first.count(), budget)), "pairs")
-    if not pairs.isEmpty():
-        linked = linked.unionByName(verified(pairs, fit, similarity, long_line, small))
+    grouped = buckets.join(groups, "h1", "left").select("key", "h1", "fp", "words", "head", F.coalesce("g", "h1").alias("g"))
+    mixed = grouped.groupBy("key").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x <> y").select("key")
+    grouped = written(grouped.where("h1 <> head").join(mixed, "key", "left_semi"), "mixed")
+    a, b = grouped.alias("a"), grouped.alias("b")
+    on = (F.col("a.key") == F.col("b.key")) & (F.col("a.h1") < F.col("b.h1")) & (F.col("a.g") != F.col("b.g"))
+    rest = written(a.join(b, on & near("a.fp", "b.fp", "a.words", "b.words")).select(F.col("a.h1").alias("a"), F.col("b.h1").alias("b")).distinct(), "rest")
+    release(shared, buckets, grouped)
+    if not rest.isEmpty():
+        linked = linked.unionByName(verified(rest, texts, known, firsts, similarity, small))
         groups = components(linked, "a", "b").withColumnsRenamed({"node": "h1", "root": "g"})
     # of a group the first occurrence stays
-    placed = groups.join(first.select("h1", "first"), "h1")
+    groups = _small(written(groups, "groups"), small // 2)
+    placed = written(_placed(known.join(groups, "h1"), firsts).select("h1", "g", "first"), "placed")
     best = placed.groupBy("g").agg(F.min("first").alias("best"))
-    gone = placed.join(best, "g").where(F.col("first") != F.col("best")).select("first")
-    first = first.join(gone, "first", "left_anti")
-    stay = first.select("first.d", "first.t", "first.line").unionByName(lines.where(F.col("words") < min_words).select("d", "t", "line"))
-    return stay.groupBy("d", "t").agg(F.sort_array(F.collect_set("line")).alias("kept"))
+    gone = placed.join(best, "g").where(F.col("first") != F.col("best")).select("first.d", "first.t", "first.line")
+    # and of equal lines
+    rest = again.join(firsts, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first"))).select("d", "t", "line")
+    return written(gone.unionByName(rest).groupBy("d", "t").agg(F.sort_array(F.collect_set("line")).alias("gone")), "gone")
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.withColumns({"_d": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "_t": F.xxhash64(text)})
+def _joined(docs: DataFrame, id_col: str, text_col: str, small: int = 1_000_000, **options) -> tuple[DataFrame, Column, str]:
+    """docs with their lines to drop; the column of those, and that column's name."""
+    gone = dropped_lines(docs, id_col, text_col, small=small, **options)
+    d, t, g = fresh(docs, "d", "t", "gone")
+    gone = gone.withColumnsRenamed({"d": d, "t": t, "gone": g})
+    same = F.col(id_col).eqNullSafe(F.col(d)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(t))
+    return docs.join(_small(gone, small // 4), same, "left"), F.coalesce(F.col(g), F.expr("cast(array() as array<int>)")), g
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """(id_col, n_lines, kept): every row's number of lines and the sorted numbers of those that stay."""
-    kept = kept_lines(docs, id_col, text_col, **options).select(F.col("d").alias("_d"), F.col("t").alias("_t"), "kept")
-    rows = _keyed(docs.select(id_col, text_col), id_col, text_col).select(id_col, F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("n_lines"), "_d", "_t")
-    return rows.join(kept, ["_d", "_t"], "left").select(id_col, "n_lines", F.coalesce("kept", F.expr("cast(array() as array<int>)")).alias("kept"))
+    rows, gone, _ = _joined(docs.select(id_col, text_col), id_col, text_col, **options)
+    n = F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"))
+    return rows.select(id_col, n.alias("n_lines"), F.array_except(F.sequence(F.lit(0), n - 1), gone).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs with their texts reduced to the lines that stay; null texts stay null."""
-    kept = kept_lines(docs, id_col, text_col, **options).select(F.col("d").alias("_d"), F.col("t").alias("_t"), F.col("kept").alias("_kept"))
-    rows = _keyed(docs, id_col, text_col).join(kept, ["_d", "_t"], "left")
-    kept = F.coalesce("_kept", F.expr("cast(array() as array<int>)"))
-    # the outer lambda binds the lines, so that a text is split once and not for each line that stays
-    text = F.transform(F.array(F.split(F.col(text_col), "\n")), lambda lines: F.array_join(F.transform(kept, lambda i: lines[i]), "\n"))[0]
-    return rows.withColumn(text_col, F.when(F.col(text_col).isNotNull(), text)).select(*docs.columns)
+    rows, gone, name = _joined(docs, id_col, text_col, **options)
+    lines = F.split(F.col(text_col), "\n")
+    kept = F.filter(F.arrays_zip(lines.alias("s"), F.sequence(F.lit(0), F.size(lines) - 1).alias("i")), lambda x: ~F.array_contains(gone, x["i"]))
+    text = F.array_join(F.transform(kept, lambda x: x["s"]), "\n")
+    # a text that loses no line stays as it is
+    text = F.when(F.col(text_col).isNull() | F.col(name).isNull(), F.col(text_col)).otherwise(text)
+    return rows.withColumn(text_col, text).select(*[f"`{c}`" for c in docs.columns])
