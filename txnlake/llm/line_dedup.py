@@ -10,7 +10,9 @@
 4. Lines are candidates if two blocks (TAKEN of BLOCKS, by the pigeonhole principle enough for any one word) agree in bits and number
    of words, hold ``least_shared`` words or more and a quarter of each line's, and if the whole SimHashes differ in ``budget`` bits at
    most. Each pair of blocks is a key. The lines of a key are first compared with its head, the one of least hash, and those linked
-   form groups; then only the pairs of different groups are left. So the n * n pairs of a line's n variants are never made.
+   form groups; then only the pairs of different groups are left. So the n * n pairs of a line's n variants are never made. Pairs are
+   left out whose words, counted in BAGS bags by their hashes, differ more than the edits allowed can explain (two for each edit):
+   an exact test that loses no link.
 5. A pair is linked if the edit similarity of its normalised lines, counted in words (each as one code point of its hash, of 2**19),
    is at least ``similarity``. All lines are compared alike, whatever their length.
 6. Of each connected group the first occurrence stays: the least (id, hash of text, line number).
@@ -40,6 +42,7 @@ BLOCKS, TAKEN = 5, 2
 WIDTH = 12  # bits of a block, and of its number of words
 FULL = (1 << WIDTH) - 1
 CHUNK = 127
+BAGS = 16
 SEPARATORS = r"[^\p{L}\p{N}]+"
 SPACELESS = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
 
@@ -62,6 +65,19 @@ def _count(block: int) -> str:
     return f"(shiftrightunsigned(m, {WIDTH * block}) & {FULL})"
 
 
+BAG_COLUMNS = [f"c{i}" for i in range(BAGS // 8)]
+
+
+def _bag(column: str, at: int) -> str:
+    return f"(shiftrightunsigned({column}, {8 * at}) & 255L)"
+
+
+def _bags_apart(a: str, b: str) -> str:
+    """SQL for what two lines' bags differ by at least; counts are known modulo 256."""
+    parts = [f"abs({_bag(f'{a}{c}', at)} - {_bag(f'{b}{c}', at)})" for c in BAG_COLUMNS for at in range(8)]
+    return " + ".join(f"least({x}, 256L - {x})" for x in parts)
+
+
 def _majority() -> str:
     """SQL for the fingerprint from the counters l0 to l7 and m.
 
@@ -99,20 +115,23 @@ def simhashes(texts: DataFrame, min_words: int) -> DataFrame:
     w = w.select(*keys, "lead", "words", F.posexplode("all").alias("at", "word")).where("word <> ''")
     w = w.select(*keys, "words", (F.col("at") - F.col("lead")).alias("at"), F.xxhash64("word").alias("own"), F.expr("if(word < ':', xxhash64('0'), xxhash64(word))").alias("h"))
     block = F.expr(f"{WIDTH} * cast(shiftrightunsigned(shiftrightunsigned(h, 48) * {BLOCKS}, 16) as int)")
-    w = w.select(*keys, "words", F.expr(f"at div {CHUNK}").alias("chunk"), F.xxhash64("own", "at").alias("x1"), F.xxhash64("at", "own").alias("x2"), "h", block.alias("at"))
-    w = w.select(*keys, "words", "chunk", "x1", "x2", F.expr(f"h & shiftleft({FULL}L, at)").alias("v"), F.expr("shiftleft(1L, at)").alias("one"))
+    w = w.select(*keys, "words", F.expr(f"at div {CHUNK}").alias("chunk"), F.xxhash64("own", "at").alias("x1"), F.xxhash64("at", "own").alias("x2"), "h", block.alias("at"), F.expr(f"cast(own & {BAGS - 1} as int)").alias("bag"))
+    bags = [F.expr(f"if(bag div 8 = {i}, shiftleft(1L, 8 * (bag % 8)), 0L)").alias(c) for i, c in enumerate(BAG_COLUMNS)]
+    w = w.select(*keys, "words", "chunk", "x1", "x2", *bags, F.expr(f"h & shiftleft({FULL}L, at)").alias("v"), F.expr("shiftleft(1L, at)").alias("one"))
     # the number of words is no grouping key, so that the two filters below stay above the sums and share them
     sums = [F.sum(F.expr(f"shiftrightunsigned(v, {k}) & {LANES}L")).alias(f"l{k}") for k in range(8)]
-    w = w.groupBy(*keys, "chunk").agg(F.max("words").alias("words"), F.bit_xor("x1").alias("h1"), F.bit_xor("x2").alias("h2"), F.sum("one").alias("m"), *sums)
-    own = ["d", "t", "line", "words", "h1", "h2", "fp", "m"]
+    w = w.groupBy(*keys, "chunk").agg(F.max("words").alias("words"), F.bit_xor("x1").alias("h1"), F.bit_xor("x2").alias("h2"), F.sum("one").alias("m"), *[F.sum(f"c{i}").alias(f"c{i}") for i in range(BAGS // 8)], *sums)
+    own = ["d", "t", "line", "words", "h1", "h2", *BAG_COLUMNS, "fp", "m"]
     short = w.where(F.col("words") <= CHUNK).withColumn("fp", F.expr(_majority())).select(*own)
     # longer lines: one row for each chunk, whose counters are taken apart and summed
     votes = [F.sum(F.expr(f"shiftrightunsigned(l{b % 8}, {b - b % 8}) & 255L")).alias(f"v{b}") for b in range(BLOCKS * WIDTH)]
     totals = [F.sum(F.expr(_count(i))).alias(f"m{i}") for i in range(BLOCKS)]
+    totals += [F.sum(F.expr(_bag(f"c{b // 8}", b % 8))).alias(f"b{b}") for b in range(BAGS)]
     long = w.where(F.col("words") > CHUNK).groupBy(*keys).agg(F.max("words").alias("words"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2"), *totals, *votes)
     bits = " | ".join(f"if(2 * v{b} > m{b // WIDTH}, {1 << b}L, 0L)" for b in range(BLOCKS * WIDTH))
     m = " | ".join(f"shiftleft(least(m{i}, {FULL}L), {WIDTH * i})" for i in range(BLOCKS))
-    return short.unionByName(long.select(*own[:-2], F.expr(bits).alias("fp"), F.expr(m).alias("m")))
+    bags = [F.expr(" | ".join(f"shiftleft(b{8 * i + j} & 255L, {8 * j})" for j in range(8))).alias(f"c{i}") for i in range(BAGS // 8)]
+    return short.unionByName(long.select(*own[:6], *bags, F.expr(bits).alias("fp"), F.expr(m).alias("m")))
 
 
 def keyed(lines: DataFrame, least_shared: int, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -164,7 +183,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = _texts(docs, id_col, text_col)
     lines = written(simhashes(texts, min_words), "lines")
     place = F.struct("d", "t", "line")
-    known = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), *[F.min(c).alias(c) for c in ("d", "t", "line", "words", "fp", "m")])
+    known = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), *[F.min(c).alias(c) for c in ("d", "t", "line", "words", "fp", "m", *BAG_COLUMNS)])
     known = written(known, "distinct_lines")
     # all occurrences of lines that repeat, to find the first
     repeated = _small(known.where("n > 1").select("h1", "h2"), small)
@@ -172,23 +191,26 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     release(lines)
     firsts = _small(written(again.groupBy("h1", "h2").agg(F.min(place).alias("first")), "firsts"), small // 2)
     # what a key's head is like comes first; then only pairs of different groups are left to find
-    laid = lambda *extra: keyed(known.select("h1", "words", "fp", "m"), least_shared, extra)
+    laid = lambda *extra: keyed(known.select("h1", "words", "fp", "m", *BAG_COLUMNS), least_shared, extra)
     shared = laid().groupBy("key").agg(F.min("h1").alias("head"), F.max("h1").alias("last")).where("head <> last").select("key", "head")
     shared = written(shared, "shared_keys")
-    buckets = written(laid("fp", "words").join(_small(shared, small), "key"), "buckets")
-    # words that one line has more of are edits
-    near = lambda fa, fb, na, nb: (F.bit_count(F.col(fa).bitwiseXOR(F.col(fb))) <= budget) & (F.abs(F.col(na) - F.col(nb)) <= (1 - similarity) * F.greatest(na, nb) + 1e-9)
-    heads = buckets.where("h1 = head").select("key", F.col("fp").alias("hf"), F.col("words").alias("hw"))
-    stars = buckets.where("h1 <> head").join(heads, "key").where(near("fp", "hf", "words", "hw"))
+    buckets = written(laid("fp", "words", *BAG_COLUMNS).join(_small(shared, small), "key"), "buckets")
+
+    def near(a: str, b: str) -> Column:
+        edits = f"cast(floor({1 - similarity:.6f} * greatest({a}words, {b}words) + 1e-9) as int)"
+        return F.expr(f"bit_count({a}fp ^ {b}fp) <= {budget} AND abs({a}words - {b}words) <= {edits} AND {_bags_apart(a, b)} <= 2 * {edits}")
+
+    heads = buckets.where("h1 = head").select("key", *[F.col(c).alias(f"head_{c}") for c in ("fp", "words", *BAG_COLUMNS)])
+    stars = buckets.where("h1 <> head").join(heads, "key").where(near("", "head_"))
     stars = written(stars.select(F.col("head").alias("a"), F.col("h1").alias("b")).distinct(), "stars")
     linked = verified(stars, texts, known, firsts, similarity, small)
     groups = written(components(linked, "a", "b"), "groups").withColumnsRenamed({"node": "h1", "root": "g"})
-    grouped = buckets.join(groups, "h1", "left").select("key", "h1", "fp", "words", "head", F.coalesce("g", "h1").alias("g"))
+    grouped = buckets.join(groups, "h1", "left").select("key", "h1", "fp", "words", *BAG_COLUMNS, "head", F.coalesce("g", "h1").alias("g"))
     mixed = grouped.groupBy("key").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x <> y").select("key")
     grouped = written(grouped.where("h1 <> head").join(mixed, "key", "left_semi"), "mixed")
     a, b = grouped.alias("a"), grouped.alias("b")
     on = (F.col("a.key") == F.col("b.key")) & (F.col("a.h1") < F.col("b.h1")) & (F.col("a.g") != F.col("b.g"))
-    rest = written(a.join(b, on & near("a.fp", "b.fp", "a.words", "b.words")).select(F.col("a.h1").alias("a"), F.col("b.h1").alias("b")).distinct(), "rest")
+    rest = written(a.join(b, on & near("a.", "b.")).select(F.col("a.h1").alias("a"), F.col("b.h1").alias("b")).distinct(), "rest")
     release(shared, buckets, grouped)
     if not rest.isEmpty():
         linked = linked.unionByName(verified(rest, texts, known, firsts, similarity, small))
