@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import decontaminate, line_dedup, maxscore, packing, pii, ppm_langid, sharding, simhash_trie, toxicity_mil, warc
+from txnlake.llm import centroids, decontaminate, line_dedup, maxscore, packing, pii, ppm_langid, sharding, simhash_trie, toxicity_mil, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,11 @@ def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op13_float32_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.report(_table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_cgk_decontamination": op2_cgk_decontamination,
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_label_propagation": op8_label_propagation,
     "op9_simhash_trie": op9_simhash_trie,
     "op10_maxscore": op10_maxscore,
+    "op13_float32_centroids": op13_float32_centroids,
 }
 
 #: No operator of this list is expressible in SQL over whole tables at a bearable speed but those named here.
