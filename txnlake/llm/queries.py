@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import centroids, decontaminate, line_dedup, maxscore, multi_index, packing, pii, ppm_langid, sharding, simhash_trie, toxicity_mil, warc
+from txnlake.llm import centroids, decontaminate, line_dedup, maxscore, multi_index, packing, pii, ppm_langid, prefix_trie, sharding, simhash_trie, toxicity_mil, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,11 @@ def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = prefix_trie.shared_heads_trie(_table(spark, sf_dir, "conversations"))
+    return found.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 def op12_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = multi_index.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_label_propagation": op8_label_propagation,
     "op9_simhash_trie": op9_simhash_trie,
     "op10_maxscore": op10_maxscore,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_multi_index": op12_multi_index,
     "op13_float32_centroids": op13_float32_centroids,
 }
