@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -66,6 +67,25 @@ def plain_score(m, text):
     return 1 - quiet
 
 
+def test_long_sentences_of_weighted_words(spark):
+    """Sums of weights beyond any bound, of either sign, never change which words count."""
+    m = T.Model(-3.0, {T.features("stupid")[0]: 15.25, T.features("kind")[0]: -9.5})
+    texts = [f"{w} " * n + more for w in ("stupid", "kind", "stupid kind") for n in (1, 10, 33, 34, 60, 80, 120, 5000, 100_000) for more in ("", ". stupid day", "\nkind day!")]
+    p, _ = m.scores([T._tokens(t) for t in texts])
+    sigmoid = lambda z: 1 / (1 + math.exp(-z)) if z > -700 else 0.0
+
+    def plain(text):
+        quiet = 1.0
+        for part in re.split(r"[.!?\n]", text):
+            if found := [f for w in part.split() for f in T.features(w)]:
+                quiet *= 1 - sigmoid(m.bias + sum(m.weights.get(f, 0.0) for f in found))
+        return 1 - quiet
+
+    assert np.allclose(p, [plain(t) for t in texts], rtol=0, atol=1e-9)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["stupid " * 34, "stupid " * 60, "stupid " * 120, "kind " * 60])], "doc_id long, text string")
+    assert [r.doc_id for r in T.harmless(df, m).collect()] == [3]
+
+
 def test_query_on_the_tables(spark):
     """Every score against plain Python, and held-out labels."""
     from txnlake.llm import queries

@@ -30,8 +30,6 @@ ENDS = (".", "!", "?")
 EDGES = re.compile(r"^\W+|\W+$")
 PIECES = re.compile(r"\n|\S+")
 SIZE = 1 << 30  # so wide that words rarely share a feature with one that counts
-WORD = 1024.0  # added to the weight of a token that is a word; weights stay far below
-MARK = float(1 << 20)  # added to that of a token that ends a sentence
 CACHE_ENTRIES = 400_000
 NO_BIAS = -12.0
 
@@ -57,34 +55,40 @@ class Model:
     weights: dict[int, float]
 
     def __post_init__(self):
-        self.cache: dict[str, float] = {}
-
-    def value(self, token: str) -> float:
-        """The token's weight, plus WORD if it is a word and MARK if a sentence ends with it."""
-        get, found = self.weights.get, features(token)
-        return sum(get(f, 0.0) for f in found) + (WORD if found else 0.0) + (MARK if token.endswith(ENDS) else 0.0)
+        self.known: dict[str, int] = {}  # a token's place in `facts`
+        self.facts = np.zeros((3, 0))
+
+    def _remember(self, tokens: set[str]) -> None:
+        """Weight, whether it is a word, and whether a sentence ends with it, for each token."""
+        rows = []
+        for t in tokens:
+            found = features(t)
+            rows.append((sum(self.weights.get(f, 0.0) for f in found), float(bool(found)), float(t.endswith(ENDS))))
+        at = len(self.known)
+        if at + len(rows) > self.facts.shape[1]:
+            self.facts = np.concatenate([self.facts[:, :at], np.zeros((3, at + 2 * len(rows)))], axis=1)
+        self.facts[:, at : at + len(rows)] = np.array(rows).reshape(-1, 3).T
+        self.known.update(zip(tokens, range(at, at + len(rows))))
 
     def values(self, docs: list[list[str]]) -> np.ndarray:
-        cache = self.cache
-        new = {t for d in docs for t in d} - cache.keys()
-        if len(cache) + len(new) > CACHE_ENTRIES:
-            cache.clear()
+        """Those facts of all tokens in a row."""
+        new = {t for d in docs for t in d} - self.known.keys()
+        if len(self.known) + len(new) > CACHE_ENTRIES:
+            self.known, self.facts = {}, np.zeros((3, 0))
             new = {t for d in docs for t in d}
-        cache.update((t, self.value(t)) for t in new)
-        get = cache.__getitem__
-        return np.fromiter((v for d in docs for v in map(get, d)), float, sum(map(len, docs)))
+        self._remember(new)
+        get = self.known.__getitem__
+        return self.facts[:, np.fromiter((v for d in docs for v in map(get, d)), np.int64, sum(map(len, docs)))]
 
     def scores(self, docs: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Noisy-or of each document, and its largest sentence probability. Every document has a token."""
-        v = self.values(docs)
-        ends = v > MARK / 2
-        v[ends] -= MARK
+        weight, word, ends = self.values(docs)
         stop = np.cumsum([len(d) for d in docs])
+        ends = ends > 0
         ends[stop - 1] = True
         last = np.flatnonzero(ends)
-        z = np.add.reduceat(v, np.concatenate([[0], last[:-1] + 1]))
-        words = np.floor(z / WORD + 0.5)
-        z = np.where(words > 0, self.bias + z - WORD * words, -np.inf)
+        starts = np.concatenate([[0], last[:-1] + 1])
+        z = np.where(np.add.reduceat(word, starts) > 0, self.bias + np.add.reduceat(weight, starts), -np.inf)
         first = np.searchsorted(last, np.concatenate([[0], stop[:-1]]))
         quiet = np.add.reduceat(-np.logaddexp(0, z), first)  # sum of log(1 - p)
         top = np.maximum.reduceat(z, first)
