@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from txnlake.operators import anonymise, audit, enrich, merge
 from txnlake.plans.load import Loader
-from txnlake.plans.warehouse import Conflict, Migrations, Warehouse
+from txnlake.plans.warehouse import Conflict, Migrations, Unfinished, Warehouse
 from txnlake.streaming.ingest import ingest, spend_cube
 
 EXPORT = "date string, note string, type string, payee string, amount string, labels string, account string, category string, currency string, payment string"
@@ -121,17 +121,22 @@ def test_commits_survive_a_crash_and_conflicts(spark, tmp_path):
     w.create()
     rows = lambda *v: spark.createDataFrame([(x,) for x in v], "v int")
     first = w.commit({"silver.t": w.stage("silver.t", rows(1))})
-    seen = w.state()[0]
+    seen = w.state()
     w.stage("silver.t", rows(9))  # died before its commit
-    (tmp_path / "w" / f"manifest-{first + 1:012d}.json").write_text('{"silver.t": ["/no')  # died within it
+    w.files.write_aside(seen.text("died"))  # died before it published
+    (tmp_path / "w" / f"manifest-{first + 1:012d}.json").write_text('{"silver.t": ["/no')  # cut off by something else
     assert [r.v for r in w.read("silver.t").collect()] == [1]
     other = Warehouse(spark, w.root)
+    with pytest.raises(Unfinished):  # a number is never passed over
+        other.commit({"silver.t": other.stage("silver.t", rows(2))}, append=("silver.t",), seen=seen)
+    assert len(other.repair()) == 1
     other.commit({"silver.t": other.stage("silver.t", rows(2))}, append=("silver.t",), seen=seen)
     with pytest.raises(Conflict):
         w.commit({"silver.t": w.stage("silver.t", rows(3))}, seen=seen)
-    w.commit({"silver.u": w.stage("silver.u", rows(4)), "silver.t": w.stage("silver.t", rows(5))}, append=("silver.t",), seen=seen)
+    w.commit({"silver.u": w.stage("silver.u", rows(4)), "silver.t": w.stage("silver.t", rows(5))}, append=("silver.t",), seen=seen.number)
     assert sorted(r.v for r in w.read("silver.t").collect()) == [1, 2, 5] and w.read("silver.u").count() == 1
-    assert len(w.vacuum(1)) == 2 and sorted(r.v for r in w.read("silver.t").collect()) == [1, 2, 5]
+    assert len(w.vacuum(1)) == 3 and sorted(r.v for r in w.read("silver.t").collect()) == [1, 2, 5]
+    assert not list((tmp_path / "w").glob("_aside-*"))
 
 
 def test_upsert_rewrites_only_the_months_hit(spark, tmp_path):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -63,8 +64,12 @@ METRICS = {
 
 def target_info(silver: DataFrame, hashes: DataFrame) -> DataFrame:
     """One row: the subcategories of the target expenses and the range of their dates."""
-    own = silver.where("transaction_type = 'EXPENSE'").join(hashes.select(HASH), HASH, "left_semi")
-    return own.agg(F.sort_array(F.collect_set("subcategory")).alias("subcategories"), F.min("transaction_date").alias("date_from"), F.max("transaction_date").alias("date_to"))
+    return spanned(silver.where("transaction_type = 'EXPENSE'").join(hashes.select(HASH), HASH, "left_semi"))
+
+
+def spanned(expenses: DataFrame) -> DataFrame:
+    """One row: the subcategories of the expenses and the range of their dates."""
+    return expenses.agg(F.sort_array(F.collect_set("subcategory")).alias("subcategories"), F.min("transaction_date").alias("date_from"), F.max("transaction_date").alias("date_to"))
 
 
 def silver_slice(silver: DataFrame, columns: tuple[str, ...], subcategories: list[str] | None = None, date_from=None, date_to=None, days: int = 365) -> DataFrame:
@@ -79,22 +84,23 @@ def silver_slice(silver: DataFrame, columns: tuple[str, ...], subcategories: lis
     return df.select(*columns)
 
 
-def refreshed(silver: DataFrame, metric: Metric, hashes: DataFrame | None = None, days: int = 365, strict_slice: bool = False) -> DataFrame:
+def refreshed(silver: DataFrame | Callable[..., DataFrame], metric: Metric, targets: DataFrame | None = None, days: int = 365, strict_slice: bool = False) -> DataFrame:
     """The metric's rows for the target hashes, or for all expenses.
 
-    The slice is widened to whole months at both ends so that monthly counts equal those of a full run; strict_slice leaves it as
-    the targets' dates give it.
+    silver may be a function of the first and last date to read; the targets then must be expenses with subcategory and date, so that
+    silver is read for the slice only. The slice is widened to whole months at both ends so that monthly counts equal those of a full
+    run; strict_slice leaves it as the targets' dates give it.
     """
-    if hashes is None:
+    if targets is None:
         return metric.compute(silver_slice(silver, metric.columns), days)
-    info = target_info(silver, hashes).first()  # one row; the list is of taxonomy size
+    info = (spanned(targets) if callable(silver) else target_info(silver, targets)).first()  # one row; the list is of taxonomy size
     if info.date_from is None:
-        return metric.compute(silver_slice(silver, metric.columns).limit(0), days)
+        nothing = targets.limit(0) if callable(silver) else silver.limit(0)
+        return metric.compute(silver_slice(nothing, metric.columns), days)
     first, last = info.date_from, info.date_to
     if not strict_slice:
-        import datetime as dt
-
         first = first.replace(day=1) - dt.timedelta(days=31)
         last = (last.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
-    rows = silver_slice(silver, metric.columns, info.subcategories, first, last, days)
-    return metric.compute(rows, days).join(hashes.select(HASH), HASH, "left_semi")
+    source = silver(first - dt.timedelta(days=days), last) if callable(silver) else silver
+    rows = silver_slice(source, metric.columns, info.subcategories, first, last, days)
+    return metric.compute(rows, days).join(targets.select(HASH), HASH, "left_semi")

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from txnlake.functions.store import release, written
 from txnlake.operators import audit, clean, enrich, layers, merge
-from txnlake.plans.warehouse import Warehouse
+from txnlake.plans.warehouse import Conflict, Folder, State, Warehouse, month_of
 
 LOG = logging.getLogger("txnlake.load")
 EMPTY = "nothing to load"
+SILVER, DAY = "silver.transactions", "transaction_date"
 
 
 @dataclass
@@ -25,6 +26,9 @@ class Loader:
 
     Hooks: post_transform over the cleaned rows; silver_policy (batch, silver so far or None) -> rows to add, by default the batch in a
     first or full load and else the rows that silver lacks; review gets the rows of repeated hashes of a full load.
+
+    stream: name and number of a micro-batch; one that the warehouse has seen adds nothing. A load that meets another writer's changes to
+    what it relies on starts its commit again from the new state, `attempts` times at most.
     """
 
     spark: SparkSession
@@ -39,11 +43,16 @@ class Loader:
     post_transform: Callable[[DataFrame], DataFrame] | None = None
     silver_policy: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None
     review: Callable[[DataFrame], None] | None = None
+    stream: tuple[str, int] | None = None
+    attempts: int = 5
     counts: dict = field(default_factory=dict)
 
     def watermark(self) -> dt.date | None:
-        silver = self.warehouse.read("silver.transactions")
-        return silver.agg(F.max("transaction_date")).first()[0] if silver is not None else None
+        """The last date in silver, from the ranges of its folders where they are known."""
+        folders = self.warehouse.state().tables.get(SILVER, [])
+        if folders and all(f.hi for f in folders):
+            return dt.date.fromisoformat(max(f.hi for f in folders))
+        return self.warehouse.frame(folders).agg(F.max(DAY)).first()[0] if folders else None
 
     def run(self, date_from: dt.date | None = None, date_to: dt.date | None = None) -> bool:
         """True on success, an empty load included. A failure is logged and raised; gold failures are only logged."""
@@ -85,20 +94,29 @@ class Loader:
             for warning in clean.validate(rows, self.counts["rows_extracted"]):
                 LOG.warning(warning)
             kept = enrich.preset_filter(rows, self.preset) if self.mode == "incremental" else rows
-            new = self._commit(kept, batch)
+            new = self._retried(kept, batch)
         finally:
             raw.unpersist()
             if rows is not None:
                 rows.unpersist()
         self.refresh(new)
 
+    def _retried(self, rows: DataFrame, batch: str) -> DataFrame | None:
+        for left in reversed(range(self.attempts)):
+            try:
+                return self._commit(rows, batch)
+            except Conflict as e:
+                if not left:
+                    raise
+                LOG.info("%s; again", e)
+        raise AssertionError
+
     def _commit(self, rows: DataFrame, batch: str) -> DataFrame | None:
-        """Staging, bronze and silver in one commit. Returns the new expenses' hashes, or None for all."""
+        """Staging, bronze and silver in one commit. Returns the new expenses, or None for all."""
         w = self.warehouse
-        seen, _ = w.state()
+        seen = w.state()
         numbered = layers.numbered(rows, ["_order"]).drop("_order")
-        old = w.read("silver.transactions")
-        full = self.mode == "full" or old is None
+        full = self.mode == "full" or not seen.tables.get(SILVER)
         repeated = merge.duplicate_rows(numbered)
         if self.strict and repeated.limit(1).count():
             raise ValueError("the batch has several rows of one transaction_hash")
@@ -106,46 +124,98 @@ class Loader:
             self.review(repeated)
         # of equal hashes the first row stays
         unique = merge.deduplicated(numbered, "source_row_number")
-        silver = enrich.enriched(layers.silver(unique, self.created_by), enrich.mapping(self.spark))
-        policy = self.silver_policy or (lambda batch, target: batch if full else merge.new_rows(batch, target))
+        silver = written(enrich.enriched(layers.silver(unique, self.created_by), enrich.mapping(self.spark)), "batch")
+        all_rows = self.counts["rows_transformed"] if self.mode == "full" or not self.preset else rows.count()
+        if self.stream and seen.streams.get(self.stream[0], -1) >= self.stream[1]:
+            # committed by a run that died before gold was refreshed, or before the stream noted it
+            self.counts |= {"rows_staged": 0, "rows_bronze": 0, "rows_silver": 0, "rows_skipped": all_rows}
+            return silver.where("transaction_type = 'EXPENSE'")
+        months = {r[0] for r in silver.select(month_of(DAY)).distinct().collect()}
+        if self.silver_policy:
+            new, relies = self.silver_policy(silver, None if full else w.read(SILVER, seen)), None
+        else:
+            new, relies = (silver if full else w.absent(SILVER, silver, merge.HASH, DAY, seen)), months
         stamp = F.current_timestamp()
-        added = w.stage("silver.transactions", policy(silver, old).withColumn("created_at", stamp))
         changes = {
             "staging.raw_transactions": w.stage("staging.raw_transactions", layers.staging(numbered, self.source, batch)),
             "bronze.transactions_raw": w.stage("bronze.transactions_raw", layers.bronze(numbered, self.source, batch).withColumn("ingestion_timestamp", stamp)),
-            "silver.transactions": added,
+            SILVER: w.stage(SILVER, new.withColumn("created_at", stamp), month_of(DAY), DAY, merge.HASH),
         }
-        w.commit(changes, ("bronze.transactions_raw",) if full else ("bronze.transactions_raw", "silver.transactions"), seen)
-        new = self.spark.read.parquet(*added)
-        n, all_rows = new.count(), rows.count()
+        append = ("bronze.transactions_raw",) if full else ("bronze.transactions_raw", SILVER)
+        w.commit(changes, append, seen, guard={} if full else {SILVER: relies}, latest=("staging.raw_transactions",), stream=self.stream)
+        added = changes[SILVER]
+        n = sum(f.rows for f in added)
         self.counts |= {"rows_staged": all_rows, "rows_bronze": all_rows, "rows_silver": n, "rows_skipped": all_rows - n}
-        return None if full else new.where("transaction_type = 'EXPENSE'").select("transaction_hash")
+        if full:
+            return None
+        return (w.frame(added) if added else silver.limit(0)).where("transaction_type = 'EXPENSE'")
 
     def correct(self, changes: DataFrame, columns: list[str], actor: str | None = None, reason: str | None = None) -> int:
-        """Lay columns of `changes` over silver by hash and log every changed row to metadata.transaction_audit, in one commit."""
+        """Lay columns of `changes` over silver by hash and log every changed row to metadata.transaction_audit, in one commit.
+
+        Only folders that may hold one of the hashes are read and written anew. Then gold is refreshed for the expenses whose baseline the
+        changes reach: those of the subcategories before and after, from the first change on. Returns the number of changed rows.
+        """
+        for left in reversed(range(self.attempts)):
+            try:
+                n, reached = self._corrected(changes, columns, actor, reason)
+                break
+            except Conflict:
+                if not left:
+                    raise
+        if reached is not None:
+            self.refresh(reached)
+        return n
+
+    def _corrected(self, changes: DataFrame, columns: list[str], actor: str | None, reason: str | None) -> tuple[int, DataFrame | None]:
+        w = self.warehouse
+        seen = w.state()
+        held = self._holding(changes, seen)
+        if not held:
+            return 0, None
+        before = w.frame(held)  # its files stay until a vacuum
+        added = w.stage(SILVER, audit.corrected(before, merge.HASH, changes, columns), month_of(DAY), DAY, merge.HASH)
+        after = w.frame(added)
+        log = w.stage("metadata.transaction_audit", audit.audit_diff(before, after, actor=actor, reason=reason).withColumn("changed_at", F.current_timestamp()))
+        n = sum(f.rows for f in log)
+        w.commit({SILVER: added, "metadata.transaction_audit": log}, ("metadata.transaction_audit",), seen, replaced={SILVER: [f.path for f in held]}, guard={SILVER: {f.part for f in held}})
+        if not n:
+            return 0, None
+        hit = w.frame(log).select(merge.HASH)
+        rows = before.unionByName(after).join(hit, merge.HASH, "left_semi")
+        first = rows.agg(F.min(DAY)).first()[0]
+        return n, w.read(SILVER).where((F.col("transaction_type") == "EXPENSE") & (F.col(DAY) >= F.lit(first))).join(rows.select("subcategory").distinct(), "subcategory", "left_semi")
+
+    def _holding(self, changes: DataFrame, seen: State) -> list[Folder]:
+        """Silver's folders that hold one of the hashes; where `changes` has their dates, only folders of those are looked at."""
         w = self.warehouse
-        seen, _ = w.state()
-        before = w.read("silver.transactions")
-        after = self.spark.read.parquet(*(path := w.stage("silver.transactions", audit.corrected(before, "transaction_hash", changes, columns))))
-        entries = audit.audit_diff(before, after, actor=actor, reason=reason).withColumn("changed_at", F.current_timestamp())
-        log = w.stage("metadata.transaction_audit", entries)
-        w.commit({"silver.transactions": path, "metadata.transaction_audit": log}, ("metadata.transaction_audit",), seen)
-        return self.spark.read.parquet(*log).count()
-
-    def refresh(self, hashes: DataFrame | None = None, names: tuple[str, ...] = tuple(merge.METRICS)) -> dict[str, int]:
-        """Recompute gold for the hashes, or as a whole. A whole table is replaced, so rows without a transaction go."""
-        out, silver = {}, self.warehouse.read("silver.transactions")
+        folders = w.holders(SILVER, changes, merge.HASH, DAY, seen)[0] if DAY in changes.columns else seen.tables.get(SILVER, [])
+        if not folders:
+            return []
+        where = F.regexp_extract(F.input_file_name(), "/(v-[^/]*/[^/]*)/[^/]*$", 1)
+        there = w.frame(folders).select(merge.HASH, where.alias("where")).join(changes.select(merge.HASH), merge.HASH, "left_semi")
+        hit = {r[0] for r in there.select("where").distinct().collect()}  # folders at most
+        return [f for f in folders if f.path.split("/transactions/")[-1] in hit]
+
+    def refresh(self, targets: DataFrame | None = None, names: tuple[str, ...] = tuple(merge.METRICS)) -> dict[str, int]:
+        """Recompute gold for these expenses of silver (hash, subcategory, date), or as a whole.
+
+        A whole table is replaced, so rows without a transaction go. For targets only the months of their baselines are read.
+        """
+        out, w = {}, self.warehouse
         for name in names:
             metric = merge.METRICS[name]
             table = f"gold.{metric.name}"
             try:
-                rows = written(merge.refreshed(silver, metric, hashes, self.days).withColumn("computed_at", F.current_timestamp()), metric.name)
+                now = w.state()
+                source = w.read(SILVER, now) if targets is None else lambda first, last: w.read_range(SILVER, first, last, now)  # noqa: B023
+                rows = written(merge.refreshed(source, metric, targets, self.days).withColumn("computed_at", F.current_timestamp()), metric.name)
                 out[name] = rows.count()
-                month = F.date_format("transaction_date", "yyyy-MM")
-                if hashes is None:
-                    self.warehouse.commit({table: self.warehouse.stage(table, rows, month)})
+                month = F.date_format(DAY, "yyyy-MM")
+                if targets is None:
+                    w.commit({table: w.stage(table, rows, month)})
                 elif out[name]:
-                    self.warehouse.upsert(table, rows, month, merge.upserted)
+                    w.upsert(table, rows, month, merge.upserted)
                 release(rows)
             except Exception:
                 LOG.exception("gold table %s was not refreshed", table)

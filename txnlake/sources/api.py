@@ -1,4 +1,8 @@
-"""A paged REST source as a Python data source: one partition for each slice of dates, read by the executors."""
+"""A paged REST source as a Python data source: one partition for each slice of dates, read by the executors.
+
+As a stream its offset is the last record taken, by date and id. A batch is what lies between two offsets, so that a restart reads the
+same records again; new records that are dated before the offset are not seen (the watermark's rule).
+"""
 
 from __future__ import annotations
 
@@ -10,7 +14,7 @@ import urllib.parse
 import urllib.request
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from txnlake.sources.records import SCHEMA, flattened, mapped, with_names
 
@@ -43,9 +47,44 @@ def pages(base: str, date_from: str, date_to: str, headers: dict[str, str], open
             sleep(PAUSE_S)
 
 
+def last_record(base: str, headers: dict[str, str], opener=urllib.request.urlopen, sleep=time.sleep) -> tuple[str, str] | None:
+    """(recordDate, id) of the greatest record: pages from the end, as long as they hold the last date only."""
+    best, offset = None, 0
+    while offset is not None:
+        page = fetched(f"{base}/records?{urllib.parse.urlencode([('sortBy', '-recordDate'), ('limit', PAGE), ('offset', offset)])}", headers, opener, sleep)
+        keys = [_place(r) for r in page.get("records", [])]
+        best = max([*keys, *([best] if best else [])], default=None)
+        offset = page.get("nextOffset") if keys and keys[-1][0] == best[0] else None
+        if offset is not None:
+            sleep(PAUSE_S)
+    return best
+
+
+def _place(record: dict) -> tuple[str, str]:
+    return str(record.get("recordDate") or ""), str(record.get("id") or "")
+
+
 class _Slice(InputPartition):
-    def __init__(self, date_from: str, date_to: str):
-        self.date_from, self.date_to = date_from, date_to
+    """Records of some days, and with `after` and `until` only those between the two places (until included)."""
+
+    def __init__(self, date_from: str, date_to: str, after: tuple[str, str] | None = None, until: tuple[str, str] | None = None):
+        self.date_from, self.date_to, self.after, self.until = date_from, date_to, after, until
+
+
+def slices(first: dt.date, last: dt.date, days: int, *bounds) -> list[_Slice]:
+    """Slices of so many days; last is not included."""
+    starts = [first + dt.timedelta(days=n) for n in range(0, max(0, (last - first).days), days)]
+    return [_Slice(s.isoformat(), min(s + dt.timedelta(days=days), last).isoformat(), *bounds) for s in starts]
+
+
+def _headers(options) -> dict[str, str]:
+    return {"Authorization": f"Bearer {options['token']}"} if "token" in options else {}
+
+
+def _taken(options, partition: _Slice):
+    for r in pages(options["url"], partition.date_from, partition.date_to, _headers(options)):
+        if partition.after is None or partition.after < _place(r) <= partition.until:
+            yield (json.dumps(r),)
 
 
 class _Reader(DataSourceReader):
@@ -54,14 +93,39 @@ class _Reader(DataSourceReader):
 
     def partitions(self):
         first, last = (dt.date.fromisoformat(self.options[k]) for k in ("from", "to"))
-        days = int(self.options.get("slicedays", "92"))
-        starts = [first + dt.timedelta(days=n) for n in range(0, max(0, (last - first).days), days)]
-        return [_Slice(s.isoformat(), min(s + dt.timedelta(days=days), last).isoformat()) for s in starts]
+        return slices(first, last, int(self.options.get("slicedays", "92")))
 
     def read(self, partition):
-        headers = {"Authorization": f"Bearer {self.options['token']}"} if "token" in self.options else {}
-        for r in pages(self.options["url"], partition.date_from, partition.date_to, headers):
-            yield (json.dumps(r),)
+        return _taken(self.options, partition)
+
+
+class _StreamReader(DataSourceStreamReader):
+    """Offsets are {"date": ..., "id": ...} of the last record taken."""
+
+    def __init__(self, options):
+        self.options, self.last = options, None
+
+    def initialOffset(self):
+        return {"date": self.options.get("since", "1970-01-01"), "id": ""}
+
+    def latestOffset(self):
+        found = last_record(self.options["url"], _headers(self.options))
+        now = max(found or ("", ""), self.last or tuple(self.initialOffset().values()))  # an offset never goes back
+        self.last = now
+        return {"date": now[0], "id": now[1]}
+
+    def partitions(self, start, end):
+        after, until = ((o["date"], o["id"]) for o in (start, end))
+        if until <= after:
+            return []
+        first, last = (dt.date.fromisoformat(o[0][:10]) for o in (after, until))
+        return slices(first, last + dt.timedelta(days=1), int(self.options.get("slicedays", "92")), after, until)
+
+    def read(self, partition):
+        return _taken(self.options, partition)
+
+    def commit(self, end):
+        pass
 
 
 class RecordSource(DataSource):
@@ -75,6 +139,9 @@ class RecordSource(DataSource):
     def reader(self, schema):
         return _Reader(self.options)
 
+    def streamReader(self, schema):
+        return _StreamReader(self.options)
+
 
 def _lookup(base: str, kind: str, headers: dict[str, str], opener, sleep) -> list[dict]:
     """All entries of an account or category list, page by page: as many as a person keeps."""
@@ -118,3 +185,14 @@ def records(spark: SparkSession, url: str, date_from: str | None = None, date_to
     options = {"url": url, "from": first, "to": last.isoformat()} | ({"token": token} if token else {})
     raw = spark.read.format("txn_api").options(**options).load()
     return raw.select(F.from_json("value", SCHEMA).alias("r")).select("r.*")
+
+
+def record_stream(spark: SparkSession, url: str, token: str | None = None, since: str | None = None) -> DataFrame:
+    """A stream of the records after `since` (a date) as the cleaner's input; accounts and categories are those of its start."""
+    from pyspark.sql import functions as F
+
+    spark.dataSource.register(RecordSource)
+    options = {"url": url} | ({"token": token} if token else {}) | ({"since": since} if since else {})
+    raw = spark.readStream.format("txn_api").options(**options).load()
+    flat = flattened(raw.select(F.from_json("value", SCHEMA).alias("r")).select("r.*"))
+    return mapped(with_names(flat, *lookups(spark, url, token)))
