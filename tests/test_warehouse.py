@@ -270,3 +270,46 @@ def test_corrections_rewrite_their_folder_and_refresh_gold(spark, w):
         want = metric.compute(merge.silver_slice(w.read("silver.transactions"), metric.columns), 365)
         got = w.read(f"gold.{metric.name}").select(*want.columns)
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def lines(n, seed):
+    import random
+
+    rnd = random.Random(seed)
+    days = [dt.date(2022, 1, 1) + dt.timedelta(days=rnd.randrange(900)) for _ in range(n)]
+    return [(str(d), f"n{i}", rnd.choice(["Expenses", "Expenses", "Income"]), "p", str(-rnd.randrange(1, 2000) / 10), "", "Cash", rnd.choice(["Groceries", "Rent", "Taxi", ""]), "EUR", "card") for i, d in enumerate(days)]
+
+
+EXPORT = "date string, note string, type string, payee string, amount string, labels string, account string, category string, currency string, payment string"
+
+
+@pytest.mark.parametrize("order", ["time", "late", "mixed"])
+def test_gold_equals_a_whole_run_in_any_order_of_batches(spark, w, order):
+    """Late days score the rows that they reach again."""
+    every = sorted(lines(160, 4))
+    batches = {"time": [every[:120], every[120:150], every[150:]], "late": [every[60:], every[30:60], every[:30]], "mixed": [every[::3], every[1::3], every[2::3]]}[order]
+    for b in batches:
+        Loader(spark, w, lambda x, y, b=b: spark.createDataFrame(b, EXPORT)).run()
+    silver = w.read("silver.transactions")
+    assert silver.count() == 160
+    for metric in merge.METRICS.values():
+        want = metric.compute(merge.silver_slice(silver, metric.columns), 365)
+        got = w.read(f"gold.{metric.name}").select(*want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_refresh_reads_what_it_reaches(spark, w, monkeypatch):
+    every = sorted(lines(160, 5))
+    Loader(spark, w, lambda a, b: spark.createDataFrame(every[:150], EXPORT)).run()
+    read, frame = [], Warehouse.frame
+
+    def spied(self, folders):
+        read.append(folders)
+        return frame(self, folders)
+
+    monkeypatch.setattr(Warehouse, "frame", spied)
+    Loader(spark, w, lambda a, b: spark.createDataFrame([("2024-06-30", "x", "Expenses", "p", "-7", "", "Cash", "Taxi", "EUR", "card")], EXPORT)).run()
+    silver = {f.part for folders in read for f in folders if "/silver/transactions/" in f.path}
+    assert silver <= {"2024-06"} and {f.part for folders in read for f in folders if "/gold/" in f.path} <= {"2024-06"}
+    days = {f.part for folders in read for f in folders if "/daily_spend/" in f.path}
+    assert min(days) >= "2023-04"

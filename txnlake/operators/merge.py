@@ -52,7 +52,7 @@ class Metric:
 
     name: str
     columns: tuple[str, ...]
-    compute: Callable[[DataFrame, int], DataFrame]
+    compute: Callable[..., DataFrame]
 
 
 _BASE = (HASH, "transaction_date", "transaction_type", "amount_abs_eur", "subcategory")
@@ -64,12 +64,8 @@ METRICS = {
 
 def target_info(silver: DataFrame, hashes: DataFrame) -> DataFrame:
     """One row: the subcategories of the target expenses and the range of their dates."""
-    return spanned(silver.where("transaction_type = 'EXPENSE'").join(hashes.select(HASH), HASH, "left_semi"))
-
-
-def spanned(expenses: DataFrame) -> DataFrame:
-    """One row: the subcategories of the expenses and the range of their dates."""
-    return expenses.agg(F.sort_array(F.collect_set("subcategory")).alias("subcategories"), F.min("transaction_date").alias("date_from"), F.max("transaction_date").alias("date_to"))
+    own = silver.where("transaction_type = 'EXPENSE'").join(hashes.select(HASH), HASH, "left_semi")
+    return own.agg(F.sort_array(F.collect_set("subcategory")).alias("subcategories"), F.min("transaction_date").alias("date_from"), F.max("transaction_date").alias("date_to"))
 
 
 def silver_slice(silver: DataFrame, columns: tuple[str, ...], subcategories: list[str] | None = None, date_from=None, date_to=None, days: int = 365) -> DataFrame:
@@ -84,23 +80,44 @@ def silver_slice(silver: DataFrame, columns: tuple[str, ...], subcategories: lis
     return df.select(*columns)
 
 
-def refreshed(silver: DataFrame | Callable[..., DataFrame], metric: Metric, targets: DataFrame | None = None, days: int = 365, strict_slice: bool = False) -> DataFrame:
-    """The metric's rows for the target hashes, or for all expenses.
+def refreshed(silver: DataFrame, metric: Metric, hashes: DataFrame | None = None, days: int = 365, strict_slice: bool = False) -> DataFrame:
+    """The metric's rows for the target hashes, or for all expenses, from silver alone.
 
-    silver may be a function of the first and last date to read; the targets then must be expenses with subcategory and date, so that
-    silver is read for the slice only. The slice is widened to whole months at both ends so that monthly counts equal those of a full
-    run; strict_slice leaves it as the targets' dates give it.
+    The slice is widened to whole months at both ends so that monthly counts equal those of a full run; strict_slice leaves it as
+    the targets' dates give it.
     """
-    if targets is None:
+    if hashes is None:
         return metric.compute(silver_slice(silver, metric.columns), days)
-    info = (spanned(targets) if callable(silver) else target_info(silver, targets)).first()  # one row; the list is of taxonomy size
+    info = target_info(silver, hashes).first()  # one row; the list is of taxonomy size
     if info.date_from is None:
-        nothing = targets.limit(0) if callable(silver) else silver.limit(0)
-        return metric.compute(silver_slice(nothing, metric.columns), days)
+        return metric.compute(silver_slice(silver, metric.columns).limit(0), days)
     first, last = info.date_from, info.date_to
     if not strict_slice:
         first = first.replace(day=1) - dt.timedelta(days=31)
         last = (last.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
-    source = silver(first - dt.timedelta(days=days), last) if callable(silver) else silver
-    rows = silver_slice(source, metric.columns, info.subcategories, first, last, days)
-    return metric.compute(rows, days).join(targets.select(HASH), HASH, "left_semi")
+    rows = silver_slice(silver, metric.columns, info.subcategories, first, last, days)
+    return metric.compute(rows, days).join(hashes.select(HASH), HASH, "left_semi")
+
+
+def reach(changed: DataFrame, days: int = 365) -> DataFrame:
+    """(subcategory, month): where scores depend on the changed rows (subcategory, transaction_date).
+
+    A row is in the baselines of its subcategory for `days` days from its own on, and in the counts of its whole month.
+    """
+    months = F.sequence(F.trunc("transaction_date", "month"), F.trunc(F.date_add("transaction_date", days), "month"), F.expr("INTERVAL 1 MONTH"))
+    return changed.select("subcategory", F.explode(months).alias("m")).select("subcategory", F.date_format("m", "yyyy-MM").alias("month")).distinct()
+
+
+def _reached(df: DataFrame, reached: DataFrame, how: str) -> DataFrame:
+    r = reached.select(F.col("subcategory").alias("_sub"), F.col("month").alias("_month"))
+    return df.join(r, F.col("subcategory").eqNullSafe(F.col("_sub")) & (F.date_format("transaction_date", "yyyy-MM") == F.col("_month")), how)
+
+
+def rescored(silver: DataFrame, daily: DataFrame, metric: Metric, reached: DataFrame, days: int = 365) -> DataFrame:
+    """The metric's rows for the expenses that are reached; silver: their months at least; daily: sums of those and of the days before."""
+    return metric.compute(_reached(silver_slice(silver, metric.columns), reached, "left_semi"), days, daily=daily)
+
+
+def replaced_where_reached(reached: DataFrame) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """A merge for Warehouse.upsert: what the table has where reached gives way to the new rows."""
+    return lambda target, rows: _reached(target, reached, "left_anti").unionByName(rows)

@@ -41,9 +41,9 @@ def shown(c: Column, digits: int) -> Column:
     return F.format_string(f"%.{digits}f", F.rint(c * 10.0**digits) / 10.0**digits)
 
 
-def notability(df: DataFrame, days: int = 365, extra=None) -> DataFrame:
-    """How unusual each expense is. extra: a function over the result that may fill extra_stats."""
-    df = rolling_stats(expenses(df), days=days)
+def notability(df: DataFrame, days: int = 365, extra=None, daily: DataFrame | None = None) -> DataFrame:
+    """How unusual each expense is. extra: a function over the result that may fill extra_stats. daily: see rolling_stats."""
+    df = rolling_stats(expenses(df), days=days, daily=daily)
     z, new, top = F.col("amount_z_score"), F.col("is_new_subcategory"), F.col("is_new_subcategory_max")
     df = df.withColumns({"hist_window_days": F.lit(days), "amount_z_score": z_score(), "is_new_subcategory": F.col("hist_n_txns") == 0})
     df = df.withColumn("is_new_subcategory_max", F.coalesce(F.col("amount_abs_eur") > F.col("hist_max_amount_eur"), F.lit(True)))
@@ -67,18 +67,27 @@ def monthly_counts(df: DataFrame, days: int = 365) -> DataFrame:
 
     A missing subcategory is counted but has no average.
     """
-    counts = df.groupBy("year_month", "subcategory").agg(F.count("*").alias("month_txn_count"))
+    return _with_average(df.groupBy("year_month", "subcategory").agg(F.count("*").alias("month_txn_count")), days)
+
+
+def monthly_counts_of_days(daily: DataFrame, days: int = 365) -> DataFrame:
+    """The same from daily_sums."""
+    return _with_average(daily.groupBy(F.date_format("day", "yyyy-MM").alias("year_month"), "subcategory").agg(F.sum("n").alias("month_txn_count")), days)
+
+
+def _with_average(counts: DataFrame, days: int) -> DataFrame:
     month = F.unix_date(F.to_date(F.concat("year_month", F.lit("-01"))))
     prior = Window.partitionBy("subcategory").orderBy("_month").rangeBetween(-days, -1)
     counts = counts.withColumn("_month", month)
     return counts.withColumn("hist_avg_monthly_count", F.when(F.col("subcategory").isNotNull(), F.avg("month_txn_count").over(prior))).drop("_month")
 
 
-def save_potential(df: DataFrame, days: int = 365) -> DataFrame:
-    """Whether each expense could have been saved: avoidability, frequency and amount."""
+def save_potential(df: DataFrame, days: int = 365, daily: DataFrame | None = None) -> DataFrame:
+    """Whether each expense could have been saved: avoidability, frequency and amount. daily: see rolling_stats."""
     base = expenses(df)
-    months = monthly_counts(base, days).withColumnsRenamed({"year_month": "_ym", "subcategory": "_sub"})
-    df = rolling_stats(base, days=days).withColumn("amount_z_score", z_score())
+    months = monthly_counts(base, days) if daily is None else monthly_counts_of_days(daily, days)
+    months = months.withColumnsRenamed({"year_month": "_ym", "subcategory": "_sub"})
+    df = rolling_stats(base, days=days, daily=daily).withColumn("amount_z_score", z_score())
     df = df.join(months, F.col("year_month").eqNullSafe(F.col("_ym")) & F.col("subcategory").eqNullSafe(F.col("_sub")), "left")
     kind = F.upper(F.trim(F.col("classification")))
     avoid = lookup(kind, V.AVOIDABILITY, F.lit(V.AVOIDABILITY["NEED"]))

@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.functions.store import release, written
-from txnlake.operators import audit, clean, enrich, layers, merge
+from txnlake.operators import audit, clean, enrich, layers, merge, rolling, scores
 from txnlake.plans.warehouse import Conflict, Folder, State, Warehouse, month_of
 
 LOG = logging.getLogger("txnlake.load")
 EMPTY = "nothing to load"
-SILVER, DAY = "silver.transactions", "transaction_date"
+SILVER, DAILY, DAY = "silver.transactions", "silver.daily_spend", "transaction_date"
 
 
 @dataclass
@@ -141,7 +141,8 @@ class Loader:
             "bronze.transactions_raw": w.stage("bronze.transactions_raw", layers.bronze(numbered, self.source, batch).withColumn("ingestion_timestamp", stamp)),
             SILVER: w.stage(SILVER, new.withColumn("created_at", stamp), month_of(DAY), DAY, merge.HASH),
         }
-        append = ("bronze.transactions_raw",) if full else ("bronze.transactions_raw", SILVER)
+        changes[DAILY] = self._daily(w.frame(changes[SILVER]) if changes[SILVER] else silver.limit(0))
+        append = ("bronze.transactions_raw",) if full else ("bronze.transactions_raw", SILVER, DAILY)
         w.commit(changes, append, seen, guard={} if full else {SILVER: relies}, latest=("staging.raw_transactions",), stream=self.stream)
         added = changes[SILVER]
         n = sum(f.rows for f in added)
@@ -150,11 +151,15 @@ class Loader:
             return None
         return (w.frame(added) if added else silver.limit(0)).where("transaction_type = 'EXPENSE'")
 
+    def _daily(self, silver: DataFrame) -> list[Folder]:
+        """Staged sums of spend by subcategory and day: what baselines need of rows, kept beside silver in its commits."""
+        return self.warehouse.stage(DAILY, rolling.daily_sums(scores.expenses(silver)), month_of("day"), "day")
+
     def correct(self, changes: DataFrame, columns: list[str], actor: str | None = None, reason: str | None = None) -> int:
         """Lay columns of `changes` over silver by hash and log every changed row to metadata.transaction_audit, in one commit.
 
-        Only folders that may hold one of the hashes are read and written anew. Then gold is refreshed for the expenses whose baseline the
-        changes reach: those of the subcategories before and after, from the first change on. Returns the number of changed rows.
+        Only folders that hold one of the hashes are written anew, and daily sums of their months. Then gold is refreshed where the changed
+        rows, before and after, are in baselines or counts. Returns the number of changed rows.
         """
         for left in reversed(range(self.attempts)):
             try:
@@ -178,13 +183,16 @@ class Loader:
         after = w.frame(added)
         log = w.stage("metadata.transaction_audit", audit.audit_diff(before, after, actor=actor, reason=reason).withColumn("changed_at", F.current_timestamp()))
         n = sum(f.rows for f in log)
-        w.commit({SILVER: added, "metadata.transaction_audit": log}, ("metadata.transaction_audit",), seen, replaced={SILVER: [f.path for f in held]}, guard={SILVER: {f.part for f in held}})
+        months = {f.part for f in [*held, *added]}
+        others = [f for f in seen.tables[SILVER] if f.part in months and f not in held]
+        days = self._daily(w.frame([*others, *added]))
+        old_days = [f.path for f in seen.tables.get(DAILY, []) if f.part in months]
+        changed = {SILVER: added, DAILY: days, "metadata.transaction_audit": log}
+        w.commit(changed, ("metadata.transaction_audit",), seen, replaced={SILVER: [f.path for f in held], DAILY: old_days}, guard={SILVER: months, DAILY: months})
         if not n:
             return 0, None
         hit = w.frame(log).select(merge.HASH)
-        rows = before.unionByName(after).join(hit, merge.HASH, "left_semi")
-        first = rows.agg(F.min(DAY)).first()[0]
-        return n, w.read(SILVER).where((F.col("transaction_type") == "EXPENSE") & (F.col(DAY) >= F.lit(first))).join(rows.select("subcategory").distinct(), "subcategory", "left_semi")
+        return n, before.unionByName(after).join(hit, merge.HASH, "left_semi")
 
     def _holding(self, changes: DataFrame, seen: State) -> list[Folder]:
         """Silver's folders that hold one of the hashes; where `changes` has their dates, only folders of those are looked at."""
@@ -197,26 +205,38 @@ class Loader:
         hit = {r[0] for r in there.select("where").distinct().collect()}  # folders at most
         return [f for f in folders if f.path.split("/transactions/")[-1] in hit]
 
-    def refresh(self, targets: DataFrame | None = None, names: tuple[str, ...] = tuple(merge.METRICS)) -> dict[str, int]:
-        """Recompute gold for these expenses of silver (hash, subcategory, date), or as a whole.
+    def refresh(self, changed: DataFrame | None = None, names: tuple[str, ...] = tuple(merge.METRICS)) -> dict[str, int]:
+        """Recompute gold wherever scores depend on the changed rows (subcategory, transaction_date) of silver, or as a whole.
 
-        A whole table is replaced, so rows without a transaction go. For targets only the months of their baselines are read.
+        A whole table is replaced, so rows without a transaction go. Else the months of the rows that are reached are read of silver,
+        and of the days before them the daily sums alone; the result equals that of a whole run, in whatever order batches came.
         """
         out, w = {}, self.warehouse
+        now = w.state()
+        month = F.date_format(DAY, "yyyy-MM")
+        if changed is not None:
+            reached = written(merge.reach(changed, self.days), "reach")
+            there = {f.part for f in now.tables[SILVER]}
+            months = {r[0] for r in reached.select("month").distinct().collect()} & there  # months at most
+            if not months:
+                return dict.fromkeys(names, 0)
+            first = (dt.date.fromisoformat(f"{min(months)}-01") - dt.timedelta(days=self.days + 31)).isoformat()[:7]
+            rows, daily = w.read_months(SILVER, months, now), w.read_months(DAILY, {f.part for f in now.tables[DAILY] if first <= f.part <= max(months)}, now)
         for name in names:
             metric = merge.METRICS[name]
             table = f"gold.{metric.name}"
             try:
-                now = w.state()
-                source = w.read(SILVER, now) if targets is None else lambda first, last: w.read_range(SILVER, first, last, now)  # noqa: B023
-                rows = written(merge.refreshed(source, metric, targets, self.days).withColumn("computed_at", F.current_timestamp()), metric.name)
-                out[name] = rows.count()
-                month = F.date_format(DAY, "yyyy-MM")
-                if targets is None:
-                    w.commit({table: w.stage(table, rows, month)})
-                elif out[name]:
-                    w.upsert(table, rows, month, merge.upserted)
-                release(rows)
+                if changed is None:
+                    found = merge.refreshed(w.read(SILVER, now), metric, None, self.days)
+                else:
+                    found = merge.rescored(rows, daily, metric, reached, self.days)
+                found = written(found.withColumn("computed_at", F.current_timestamp()), metric.name)
+                out[name] = found.count()
+                if changed is None:
+                    w.commit({table: w.stage(table, found, month)})
+                else:
+                    w.upsert(table, found, month, merge.replaced_where_reached(reached), months)
+                release(found)
             except Exception:
                 LOG.exception("gold table %s was not refreshed", table)
         return out

@@ -162,6 +162,14 @@ class Warehouse:
         near = [f for f in folders if f.may_hold(first.isoformat(), last.isoformat())]
         return self.frame(near) if near else self.frame(folders[:1]).limit(0)
 
+    def read_months(self, table: str, months: set[str], state: State | None = None) -> DataFrame | None:
+        """The folders of these months; the table's schema without rows if there are none."""
+        folders = (state or self.state()).tables.get(table)
+        if not folders:
+            return None
+        own = [f for f in folders if f.part is None or f.part in months]
+        return self.frame(own) if own else self.frame(folders[:1]).limit(0)
+
     def stage(self, table: str, df: DataFrame, by: Column | None = None, day: str | None = None, key: str | None = None) -> list[Folder]:
         """Write rows of the table, with `by` a folder for each of its values; they are not visible before commit().
 
@@ -278,13 +286,13 @@ class Warehouse:
         if moved:
             raise Conflict(f"changed meanwhile: {moved}")
 
-    def upsert(self, table: str, rows: DataFrame, month: Column, merge: Callable[[DataFrame, DataFrame], DataFrame], attempts: int = 5) -> int:
+    def upsert(self, table: str, rows: DataFrame, month: Column, merge: Callable[[DataFrame, DataFrame], DataFrame], months: set[str] | None = None, attempts: int = 5) -> int:
         """Put rows into or over the table's, month by month. A row's key decides its month. Only months hit are read and rewritten.
 
-        Writers of other months go on; one of the same month makes this one start again from what that one left.
+        months: those to rewrite, where some may have lost all rows. Writers of other months go on; one of the same month makes this one start again from what that one left.
         """
         month = F.coalesce(month.cast("string"), F.lit(NO_MONTH))
-        hit = {r[0] for r in rows.select(month).distinct().collect()}  # as many as there are months
+        hit = {r[0] for r in rows.select(month).distinct().collect()} | (months or set())  # as many as there are months
         for left in reversed(range(attempts)):
             now = self.state()
             old = [f for f in now.tables.get(table, []) if f.part is None or f.part in hit]
