@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -39,10 +40,24 @@ def parse_date(c: Column) -> Column:
     """
     bare = strip(c)
     day = F.split_part(bare, F.lit("T"), F.lit(1))
-    tries = [F.try_to_timestamp(day, F.lit(f)) for f in V.DATE_FORMATS]
+    # a failed try costs far more than a good one: of the formats only those of the text's shape are tried, in their order
+    shape, year_first = F.regexp_replace(day, r"\d+", "9"), day.rlike(r"^\d{4}(\D|$)")
+    tries = lambda formats: F.coalesce(*[F.try_to_timestamp(day, F.lit(f)) for f in formats], F.lit(None))
+    out = None
+    for s in dict.fromkeys(_shape(f) for f in V.DATE_FORMATS if "MMMM" not in f):
+        own = [f for f in V.DATE_FORMATS if "MMMM" not in f and _shape(f) == s]
+        first = [f for f in own if f.startswith("yyyy")]
+        rest = [f for f in own if f not in first]
+        found = tries(own) if s == "9" else F.when(year_first, tries(first)).otherwise(tries(rest))
+        out = F.when(shape == s, found) if out is None else out.when(shape == s, found)
     # the lambda keeps what few rows reach out of the generated code, and binds the text once
     free = F.transform(F.array(F.when(bare.rlike(r"\d"), bare)), lambda x: _free_date(x))[0]
-    return F.coalesce(*tries, free).cast("date")
+    return F.coalesce(out, free).cast("date")
+
+
+def _shape(date_format: str) -> str:
+    """The format with its numbers as 9."""
+    return re.sub(r"[A-Za-z]+", "9", date_format)
 
 
 def _free_date(text: Column) -> Column:

@@ -162,7 +162,7 @@ ORACLE: dict[str, str] = {
       SELECT id, CASE WHEN r > 20 THEN 'Label #other' ELSE 'Label #' || CAST(r AS VARCHAR) END AS name FROM v LEFT JOIN k ON v.name = k.v""",
     "scale_euros_in_text": f"""WITH {TXN} SELECT id, 'paid €' || printf('%.0f', round_even(CAST(abs(amount) AS DOUBLE) * CAST(0.73 AS DOUBLE), 0)) || ' of €' || printf('%.0f', round_even(CAST(id % 1000 AS DOUBLE) * CAST(0.73 AS DOUBLE), 0)) || ' (€x)' AS text FROM txn""",
     "transaction_hash": f"WITH {TXN} SELECT id, {_hash('date', 'amount', 'subcategory', '''CASE WHEN id % 9 <> 0 THEN '  Ordér ' || CAST(id AS VARCHAR) || chr(9) ELSE '' END''')} AS transaction_hash FROM txn",
-    "date_parse_multi_format": f"WITH {TXN} SELECT id, CASE WHEN id % 8 < 7 THEN date END AS date FROM txn",
+    "date_parse_multi_format": f"WITH {TXN} SELECT id, CASE WHEN id % 16 < 15 THEN date END AS date FROM txn",
     "date_format_sniff": f"WITH {TXN}, x AS (SELECT {_SHOWN} AS s FROM txn) SELECT {_SHAPE} AS format, count(*) AS n FROM x GROUP BY 1",
     "calendar_fields": f"""WITH {TXN} SELECT id, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, CAST(quarter(date) AS INTEGER) AS quarter, strftime(date, '%Y-%m') AS year_month,
       CAST(isodow(date) AS INTEGER) AS day_of_week, CAST(weekofyear(date) AS INTEGER) AS week_of_year, isodow(date) IN (6, 7) AS is_weekend FROM txn""",

@@ -283,7 +283,8 @@ def transaction_hash(spark, sf_dir):
 @query
 def date_parse_multi_format(spark, sf_dir):
     t = T.txn(spark, sf_dir)
-    shapes = ["yyyy-MM-dd", "M/d/yyyy", "yyyy/M/d", "yyyy.M.d", "yyyyMMdd", "M/d/yyyy H:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'"]
+    shapes = ["yyyy-MM-dd", "M/d/yyyy", "yyyy/M/d", "yyyy.M.d", "yyyyMMdd", "M/d/yyyy H:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy M d", "M-d-yyyy", "M.d.yyyy"]
+    shapes += ["MMMM d yyyy", "d MMM yyyy", "MMMM d, yyyy", "EEEE, d MMMM yyyy", "d-MMM-yyyy"]
     ways = [F.date_format("date", f) for f in shapes] + [F.lit("not-a-date")]
     shown = F.element_at(F.array(*ways), (F.col("id") % len(ways) + 1).cast("int"))
     return t.select("id", S.parse_date(shown).alias("date"))
