@@ -20,7 +20,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE) and len(QUERIES) == 55
+    assert set(QUERIES) == set(ORACLE) and len(QUERIES) == 59
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")

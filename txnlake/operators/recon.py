@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnlake.functions.scalars import strip
+from txnlake.operators.selection import exact_percentile
 
 CENTS = "decimal(18,2)"
 
@@ -74,16 +77,27 @@ def category_top(df: DataFrame, k: int = 15) -> DataFrame:
 
 
 def amount_stats(df: DataFrame, *by: str) -> DataFrame:
+    """Mean, exact median, least and greatest amount; the median never gathers a group (see selection)."""
     a = F.col("amount").cast("double")
-    return df.groupBy(*by).agg(F.round(F.avg(a), 4).alias("mean"), F.round(F.percentile(a, F.lit(0.5)), 4).alias("median"), F.min(a).alias("least"), F.max(a).alias("most"))
+    rest = df.groupBy(*by).agg(F.round(F.avg(a), 4).alias("mean"), F.min(a).alias("least"), F.max(a).alias("most"))
+    middle = exact_percentile(df, list(by), a).select(*[F.col(b).alias(f"_{b}") for b in by], F.round("percentile", 4).alias("median"))
+    same = reduce(lambda x, b: x & F.col(b).eqNullSafe(F.col(f"_{b}")), by, F.lit(True))
+    return rest.join(middle, same, "left").select(*by, "mean", "median", "least", "most")
+
 
+def null_profile(df: DataFrame, samples: int = 3, by=F.xxhash64) -> DataFrame:
+    """(column, n_null, pct_null, dtype, samples) in one pass over the table.
 
-def null_profile(df: DataFrame) -> DataFrame:
-    """(column, n_null, pct_null, dtype) in one pass over the table."""
+    samples: at most so many values as text. A column's values fall in that many parts by their hash, `by`, a long, and each part shows
+    the value of its least hash: the same values however the rows are dealt out, and the aggregate merges like a minimum.
+    """
     kinds = dict(df.dtypes)
-    one = df.agg(F.count("*").alias("_n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
-    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_null"), F.lit(kinds[c]).alias("dtype")) for c in df.columns]))
-    return one.select("_n", rows.alias("x")).select("x.column", "x.n_null", F.round(F.coalesce(F.try_divide(F.col("x.n_null") * 100.0, F.col("_n")), F.lit(0.0)), 4).alias("pct_null"), "x.dtype")
+    text = {c: F.col(c).cast("string") for c in df.columns}
+    own = lambda c, i: F.min(F.when(F.col(c).isNotNull() & (F.pmod(by(text[c]), F.lit(samples)) == i), F.struct(by(text[c]).alias("h"), text[c].alias("v")))).alias(f"{c}#{i}")
+    one = df.agg(F.count("*").alias("_n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns], *[own(c, i) for c in df.columns for i in range(samples)])
+    shown = lambda c: F.filter(F.array(*[F.col(f"`{c}#{i}`.v") for i in range(samples)]), lambda x: x.isNotNull())
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_null"), F.lit(kinds[c]).alias("dtype"), shown(c).alias("samples")) for c in df.columns]))
+    return one.select("_n", rows.alias("x")).select("x.column", "x.n_null", F.round(F.coalesce(F.try_divide(F.col("x.n_null") * 100.0, F.col("_n")), F.lit(0.0)), 4).alias("pct_null"), "x.dtype", "x.samples")
 
 
 def batch_profile(df: DataFrame) -> DataFrame:

@@ -191,7 +191,15 @@ ORACLE: dict[str, str] = {
     "amount_stats": f"WITH {SIDES} SELECT type, round(avg(CAST(amount AS DOUBLE)), 4) AS mean, round(median(CAST(amount AS DOUBLE)), 4) AS median, min(CAST(amount AS DOUBLE)) AS least, max(CAST(amount AS DOUBLE)) AS most FROM book GROUP BY 1",
     "income_expense_breakdown": f"""WITH {SIDES} SELECT currency, CAST(coalesce(sum(amount) FILTER (amount < 0), 0) AS DECIMAL(18,2)) AS expenses, CAST(coalesce(sum(amount) FILTER (amount > 0), 0) AS DECIMAL(18,2)) AS income, CAST(sum(amount) AS DECIMAL(18,2)) AS net,
       count(*) FILTER (amount < 0) AS n_expenses, count(*) FILTER (amount > 0) AS n_income, count(*) FILTER (amount = 0) AS n_zero FROM book GROUP BY 1""",
-    "null_profile": f"""WITH {TXN}, c AS (SELECT count(*) AS n, count(*) FILTER (id % 5 = 0) AS p, count(*) FILTER (id % 7 <> 0) AS a FROM txn)
-      SELECT 'id' AS "column", CAST(0 AS BIGINT) AS n_null, 0.0::DOUBLE AS pct_null FROM c UNION ALL SELECT 'payee', p, round(p * 100.0::DOUBLE / n, 4) FROM c UNION ALL SELECT 'account', a, round(a * 100.0::DOUBLE / n, 4) FROM c""",
+    "null_profile": f"""WITH {TXN}, v AS (SELECT 'id' AS c, CAST(id AS VARCHAR) AS v FROM txn UNION ALL SELECT 'payee', CASE WHEN id % 5 <> 0 THEN payee END FROM txn UNION ALL SELECT 'account', CASE WHEN id % 7 = 0 THEN account END FROM txn),
+      h AS (SELECT *, CAST('0x' || substr(md5(v), 1, 8) AS BIGINT) AS h FROM v)
+      SELECT c AS "column", count(*) FILTER (v IS NULL) AS n_null, round(count(*) FILTER (v IS NULL) * 100.0::DOUBLE / count(*), 4) AS pct_null,
+      concat_ws('|', {", ".join(f"arg_min(v, h) FILTER (v IS NOT NULL AND h % 3 = {i})" for i in range(3))}) AS samples FROM h GROUP BY c""",
     "paged_scan": f"WITH {TXN} SELECT id, date FROM txn ORDER BY date, id LIMIT 200 OFFSET 400",
+    "paged_scan_far": f"WITH {TXN}, o AS (SELECT id, date, row_number() OVER (ORDER BY date, id) AS r, count(*) OVER () AS n FROM txn) SELECT id, date FROM o WHERE r > (n // 70 - 1) * 70 AND r <= n // 70 * 70",
+    "pruned_incremental_load": f"WITH {SILVER} SELECT transaction_hash, transaction_date, transaction_type FROM silver WHERE {NEW}",
+    "ordered_export": f"WITH {TXN} SELECT row_number() OVER (ORDER BY date, id) AS place, date, id FROM txn",
+    "corrected_gold": f"""WITH {NOTABLE.replace("expense AS (SELECT *,", "expense AS (SELECT * REPLACE (CASE WHEN right(payee, 1) = '7' AND subcategory = 'Taxi' THEN 'Fuel' ELSE subcategory END AS subcategory),")},
+      moved AS (SELECT DISTINCT year_month AS first, strftime(transaction_date + 365, '%Y-%m') AS last FROM silver WHERE right(payee, 1) = '7' AND subcategory = 'Taxi' AND transaction_type = 'EXPENSE')
+      SELECT transaction_hash, n AS hist_n_txns, round(nscore, 6) AS score, nlabel AS notability_label FROM notable x WHERE subcategory = 'Fuel' AND EXISTS (SELECT 1 FROM moved WHERE x.year_month BETWEEN first AND last)""",
 }

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from txnlake.functions import scalars as S
 from txnlake.functions import values as V
-from txnlake.functions.store import written
+from txnlake.functions.store import new_folder, written
 from txnlake.operators import anonymise, audit, clean, enrich, layers, merge, recon, rolling, scores
+from txnlake.operators.paging import Pages
 from txnlake.plans import tables as T
+from txnlake.plans.warehouse import Warehouse, month_of
 from txnlake.sources import records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -413,10 +415,49 @@ def income_expense_breakdown(spark, sf_dir):
 @query
 def null_profile(spark, sf_dir):
     t = T.txn(spark, sf_dir).select("id", F.when(F.col("id") % 5 != 0, F.col("payee")).alias("payee"), F.when(F.col("id") % 7 == 0, F.col("account")).alias("account"))
-    return recon.null_profile(t).select("column", "n_null", "pct_null")
+    md5 = lambda c: F.conv(F.substring(F.md5(c), 1, 8), 16, 10).cast("long")
+    return recon.null_profile(t, by=md5).select("column", "n_null", "pct_null", F.array_join("samples", "|").alias("samples"))
 
 
 @query
 def paged_scan(spark, sf_dir):
     """The third page of 200, in the API's order."""
-    return T.txn(spark, sf_dir).orderBy("date", "id").offset(400).limit(200).select("id", "date")
+    return Pages(T.txn(spark, sf_dir).select("id", "date"), ["date", "id"]).page(2, 200)
+
+
+@query
+def paged_scan_far(spark, sf_dir):
+    """The last whole page of 70, found without passing over those before it."""
+    pages = Pages(T.txn(spark, sf_dir).select("id", "date"), ["date", "id"])
+    return pages.page(pages.total // 70 - 1, 70)
+
+
+@query
+def pruned_incremental_load(spark, sf_dir):
+    """The rows to add to a silver of month folders, which is asked by its ranges of dates and Bloom filters."""
+    s = T.silver(spark, sf_dir).select("transaction_hash", "transaction_date", "transaction_type")
+    w = Warehouse(spark, new_folder(spark, "warehouse"))
+    w.create()
+    by = month_of("transaction_date")
+    w.commit({"silver.transactions": w.stage("silver.transactions", T.stored(s).repartition(by), by, "transaction_date", "transaction_hash")})
+    return w.absent("silver.transactions", T.incoming(s), "transaction_hash", "transaction_date", filter_above=0)
+
+
+@query
+def ordered_export(spark, sf_dir):
+    """The anonymised export's order, dates before ids, and the place of every row in it."""
+    return layers.numbered(T.txn(spark, sf_dir).select("date", "id"), ["date", "id"], "place").select(F.col("place").cast("long").alias("place"), "date", "id")
+
+
+@query
+def corrected_gold(spark, sf_dir):
+    """Notability of a subcategory's expenses after a correction, scored from daily sums where the changed rows reach."""
+    s = written(T.silver(spark, sf_dir).select("transaction_hash", "transaction_date", "transaction_type", "amount_abs_eur", "subcategory", "payee"), "silver")
+    moved = (F.substring("payee", -1, 1) == "7") & (F.col("subcategory") == "Taxi")
+    after = written(s.withColumn("subcategory", F.when(moved, "Fuel").otherwise(F.col("subcategory"))), "corrected")
+    changed = s.where(moved & (F.col("transaction_type") == "EXPENSE"))
+    changed = changed.unionByName(changed.withColumn("subcategory", F.lit("Fuel")))
+    reached = written(merge.reach(changed), "reach")
+    daily = rolling.daily_sums(scores.expenses(after))
+    out = merge.rescored(after, daily, merge.METRICS["notability"], reached)
+    return out.where("subcategory = 'Fuel'").select("transaction_hash", "hist_n_txns", F.round("notability_score", 6).alias("score"), "notability_label")
