@@ -1,4 +1,4 @@
-"""File sources and sinks: CSV in several encodings, Excel where a reader is installed, presets."""
+"""File sources and sinks: CSV in several encodings and in parallel, Excel, presets."""
 
 from __future__ import annotations
 
@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.functions.values import ENCODINGS
+from txnlake.sources import quoted, workbook
+
+PARALLEL_ABOVE = 256 << 20
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -13,26 +16,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 def csv(spark: SparkSession, path: str, encoding: str = "UTF-8", one_line: bool = False, types: bool = False) -> DataFrame:
     """All columns as strings, or with types inferred; quotes are doubled.
 
-    Fields may hold line breaks, which makes a file one task; with one_line they may not, and great files are split.
+    Fields may hold line breaks, which makes a file one task; with one_line they may not, and great files are split. quoted.scan splits
+    files whose fields hold line breaks.
     """
     return spark.read.csv(path, header=True, multiLine=not one_line, escape='"', encoding=encoding, inferSchema=types)
 
 
 def scan(spark: SparkSession, path: str, one_line: bool = False, types: bool = False) -> DataFrame:
-    """A .csv or .xlsx/.xls export. A missing file is FileNotFoundError, another suffix ValueError."""
+    """A .csv or Excel export; CSV files beyond PARALLEL_ABOVE bytes are read in splits. A missing file is FileNotFoundError, another suffix ValueError."""
     if not exists(spark, path):
         raise FileNotFoundError(path)
     low = path.lower()
     if low.endswith(".csv"):
+        if not one_line and not types and size(spark, path) > PARALLEL_ABOVE:
+            return quoted.scan(spark, path)
         return csv(spark, path, one_line=one_line, types=types)
     if low.endswith((".xlsx", ".xls")):
-        import pandas as pd  # needs openpyxl, which isn't part of this library
-
-        table = pd.read_excel(path, dtype=str)
-        return spark.createDataFrame(table.astype(object).where(table.notna(), None), ", ".join(f"`{c}` string" for c in table.columns))
+        return workbook.scan(spark, path)
     raise ValueError(f"unsupported file: {path}")
 
 
