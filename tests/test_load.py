@@ -195,6 +195,17 @@ def test_command_line(spark, tmp_path, capsys):
     assert run("--mode", "full") == 0 and w.read("silver.transactions").count() == 4
     assert spark.read.csv(str(tmp_path / "w" / "review" / "duplicate_transactions"), header=True).count() == 2
     assert run("--refresh-gold", "both") == 0 and run("--export-anonymised", str(tmp_path / "anon")) == 0
+    key = w.read("silver.transactions").where("description = 'a'").first()
+    (tmp_path / "fix.csv").write_text(f"transaction_hash,transaction_date,subcategory\n{key.transaction_hash},{key.transaction_date},Rent\n")
+    capsys.readouterr()
+    assert run("--correct", str(tmp_path / "fix.csv"), "--actor", "me", "--reason", "shop") == 0 and capsys.readouterr().out.strip() == "1"
+    assert w.read("silver.transactions").where("subcategory = 'Rent'").count() == 1 and w.read("gold.transaction_notability").where("subcategory = 'Rent'").count() == 1
+    assert [(r.actor, r.reason) for r in w.read("metadata.transaction_audit").collect()] == [("me", "shop")]
+    (tmp_path / "bad.csv").write_text("transaction_hash,colour\nx,y\n")
+    with pytest.raises(SystemExit):
+        run("--correct", str(tmp_path / "bad.csv"))
+    assert run("--compact") == 0 and len(w.paths("bronze.transactions_raw")) == 1 and w.read("silver.transactions").count() == 4
+    assert run("--vacuum") == 0 and w.read("silver.transactions").count() == 4
     assert run("--compare", str(csv), "--out", str(tmp_path / "reports")) == 0
     summary = spark.read.csv(str(tmp_path / "reports" / "summary"), header=True).first()
     assert (summary.n_left, summary.n_right) == ("2", "3")

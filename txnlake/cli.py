@@ -34,6 +34,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--dump", help="with --dry-run: a folder for each stage's rows as CSV")
     p.add_argument("--compare", help="reconcile silver with this cleaned export (CSV)")
     p.add_argument("--out", help="with --compare: a folder for the reports as CSV")
+    p.add_argument("--correct", help="a CSV file of transaction_hash and the columns to lay over silver (with transaction_date: only its months are looked at)")
+    p.add_argument("--actor", help="with --correct: who is logged, by default the current user")
+    p.add_argument("--reason", help="with --correct: why")
+    p.add_argument("--compact", action="store_true", help="merge small folders of bronze and silver")
+    p.add_argument("--vacuum", action="store_true", help="delete folders that no recent manifest names; not beside a running load")
     return p
 
 
@@ -72,6 +77,20 @@ def compare(spark: SparkSession, w: Warehouse, export: DataFrame, out: str | Non
             files.export_csv(rows, f"{out}/{name}")
 
 
+COMPACTED = (("bronze.transactions_raw", None, None), ("silver.transactions", "transaction_date", "transaction_hash"), ("silver.daily_spend", "day", None))
+
+
+def corrections(spark: SparkSession, w: Warehouse, path: str) -> tuple[DataFrame, list[str]]:
+    """The rows of a corrections file with silver's types, and the columns that they set."""
+    kinds = dict(w.read("silver.transactions").dtypes)
+    found = files.csv(spark, path)
+    unknown = set(found.columns) - set(kinds)
+    if unknown or merge.HASH not in found.columns:
+        raise SystemExit(f"corrections need {merge.HASH} and columns of silver; unknown: {sorted(unknown)}")
+    changes = found.select(*[F.col(c).cast(kinds[c]).alias(c) for c in found.columns])
+    return changes, [c for c in found.columns if c not in (merge.HASH, "transaction_date")]
+
+
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(args)
     spark = spark or SparkSession.builder.appName("txnlake").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -96,7 +115,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(loader.refresh(names=names))
     elif a.export_anonymised:
         gold = [w.read(f"gold.{m.name}") for m in merge.METRICS.values()]
-        files.export_csv(anonymise.anonymised(anonymise.wide(w.read("silver.transactions"), *gold)).orderBy("transaction_date", "transaction_hash"), a.export_anonymised)
+        files.export_csv(anonymise.anonymised(anonymise.wide(w.read("silver.transactions"), *gold)).orderBy("transaction_date", "transaction_hash"), a.export_anonymised, single=False)
     elif a.export_duplicates:
         batch = layers.silver(clean.clean(extract(a.from_date, a.to_date)), "review")
         files.export_csv(merge.duplicate_rows(batch).orderBy("transaction_hash", "transaction_date"), a.export_duplicates)
@@ -104,6 +123,12 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         dry_run(spark, w, extract(a.from_date, a.to_date), preset if a.mode == "incremental" else None, a.dump)
     elif a.compare:
         compare(spark, w, files.scan(spark, a.compare), a.out)
+    elif a.correct:
+        print(loader.correct(*corrections(spark, w, a.correct), a.actor, a.reason))
+    elif a.compact:
+        print({t: w.compact(t, day=d, key=k) for t, d, k in COMPACTED})
+    elif a.vacuum:
+        print(len(w.vacuum()))
     else:
         return int(not loader.run(a.from_date, a.to_date))
     return 0

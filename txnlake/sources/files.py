@@ -57,6 +57,7 @@ def csv_any_encoding(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
 
 
 def export_csv(df: DataFrame, path: str, single: bool = True) -> None:
+    """single: one file, written by one task, for reports; otherwise files whose names follow the order of the rows."""
     (df.coalesce(1) if single else df).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
