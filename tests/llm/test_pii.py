@@ -87,6 +87,23 @@ def test_many_spans_in_one_text(spark):
     assert time.time() - start < 90
 
 
+def test_many_loose_beside_many_base_spans(spark):
+    """Loose spans that meet a base one go, the others stay, in time that grows with their number."""
+    text = " ".join(f"a{i}@b.cc 4012.8888.8888.1881 x +1 (555) 123-4567" for i in range(30_000))
+    start = time.time()
+    row = pii.candidates(spark.createDataFrame([(1, text)], "doc_id int, text string"), "doc_id", "text").first()
+    taken = [(s.start, s.end) for s in row.base]
+    assert len(taken) == 60_000 and len(row.loose) == 30_000 and time.time() - start < 60
+    marked = bytearray(len(text))
+    for s, e in taken:
+        marked[s:e] = b"1" * (e - s)
+    assert not any(any(marked[s.start : s.end]) for s in row.loose)
+    # beside each other at every distance from a stretch's ends
+    near = [("y" * i + " +1 (555) 123-4567 a@b.cc (555) 123-4567 4012.8888.8888.1881 z@d.ee " + "w" * (150 - i) + " (555) 123-4567") for i in range(140)]
+    got = pii.candidates(spark.createDataFrame(list(enumerate(near)), "doc_id int, text string"), "doc_id", "text").collect()
+    assert all([(near[r.doc_id][s.start : s.end]) for s in sorted(r.loose)] == ["(555) 123-4567", "4012.8888.8888.1881", "(555) 123-4567"] and len(r.base) == 3 for r in got) and len(got) == 140
+
+
 def test_empty_and_nulls(spark):
     df = spark.createDataFrame([(None, "a@b.cc"), (None, "a@b.cc")], "doc_id int, text string")
     assert [len(r.base) for r in pii.find(df).collect()] == [1, 1]

@@ -165,10 +165,29 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     for name, kind, pattern, strict in names:
         kept = F.filter(F.col(name), _checked(kind))
         parts[strict].append(F.coalesce(_described(kept, kind, strict), F.array()))
-    base, loose = F.concat(*parts[True]), F.concat(*parts[False])
-    df = df.select(id_col, base.alias("base"), loose.alias("loose"))
-    free = F.filter("loose", lambda x: ~F.exists(F.col("base"), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    return df.select(id_col, "base", free.alias("loose"))
+    own = {f"_{kind}": spans for kind, spans in zip(BASE, parts[True])}
+    df = df.select(id_col, F.concat(*parts[False]).alias("loose"), *[spans.alias(name) for name, spans in own.items()])
+    df = df.select(id_col, "loose", *own, *[F.when(F.size("loose") > 0, _places(name)).alias(f"{name}_at") for name in own])
+    free = F.filter("loose", lambda x: ~reduce(lambda found, name: found | _met(name, x), own, F.lit(False)))
+    return df.select(id_col, F.concat(*own).alias("base"), free.alias("loose"))
+
+
+STRETCH = 64  # code points
+
+
+def _places(name: str) -> Column:
+    """How many of the spans, which come in order, start before each stretch of the text, up to that of the last."""
+    stretch = lambda x: F.floor(x["start"] / STRETCH).cast("int")
+    before = lambda i: F.when(i > 0, stretch(F.get(F.col(name), i - 1))).otherwise(-1)
+    return F.flatten(F.transform(name, lambda x, i: F.array_repeat(i, stretch(x) - before(i))))
+
+
+def _met(name: str, x: Column) -> Column:
+    """Whether the span meets one of those spans: looks at the few that start in its stretches, and the one before."""
+    at = lambda stretch: F.coalesce(F.get(F.col(f"{name}_at"), stretch), F.size(name))
+    first = F.greatest(at(F.floor(x["start"] / STRETCH).cast("int")) - 1, F.lit(0))
+    last = at(F.floor((x["end"] - 1) / STRETCH).cast("int") + 1)
+    return F.exists(F.slice(name, first + 1, last - first), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
 
 
 def reliabilities(patterns: list[tuple[tuple[int, ...], float]], rounds: int = 50) -> tuple[float, list[dict[tuple[int, int], float]], dict[tuple[int, ...], float]]:

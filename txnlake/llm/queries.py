@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.llm import centroids, decontaminate, line_dedup, maxscore, multi_index, packing, pii, ppm_langid, prefix_trie, sharding, simhash_trie, toxicity_mil, warc
+from txnlake.llm.oracle import ORACLE_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +97,8 @@ def op13_float32_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_cgk_decontamination": op2_cgk_decontamination,
@@ -111,6 +114,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_multi_index": op12_multi_index,
     "op13_float32_centroids": op13_float32_centroids,
 }
-
-#: No operator of this list is expressible in SQL over whole tables at a bearable speed but those named here.
-ORACLE_SQL: dict[str, str] = {}
