@@ -104,12 +104,16 @@ def test_migrations(spark, tmp_path):
     f = tmp_path / "m"
     f.mkdir()
     (f / "001_first.sql").write_text("SELECT 1; SELECT 2")
-    m = Migrations(str(f), str(tmp_path / "ledger.json"))
-    assert m.run(spark, dry_run=True) == ["001_first.sql"] and m.status() == [("001_first.sql", "pending")]
-    assert m.run(spark) == ["001_first.sql"] and m.run(spark) == [] and m.status() == [("001_first.sql", "applied")]
+    m = Migrations(spark, str(f), str(tmp_path / "ledger"))
+    assert m.run(dry_run=True) == ["001_first.sql"] and m.status() == [("001_first.sql", "pending")]
+    assert m.run() == ["001_first.sql"] and m.run() == [] and m.status() == [("001_first.sql", "applied")]
+    (f / "002_second.sql").write_text("this is no SQL")
+    with pytest.raises(Exception, match="SYNTAX"):
+        m.run()
+    assert m.status()[1] == ("002_second.sql", "pending") and m.run(baseline=True) == ["002_second.sql"] and m.run() == []
     (f / "001_first.sql").write_text("SELECT 3")
     with pytest.raises(RuntimeError, match="edited"):
-        m.run(spark)
+        m.run()
     (f / "bad.sql").write_text("")
     with pytest.raises(RuntimeError, match="NNN"):
         m.files()

@@ -119,7 +119,7 @@ ORACLE: dict[str, str] = {
     "json_flatten": """SELECT CAST(event_id AS VARCHAR) AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS "recordDate", round(value, 2) AS amount_value, CASE WHEN user_id % 2 = 0 THEN 'EUR' ELSE 'BGN' END AS amount_currency,
       'c' || CAST(user_id % 10 AS VARCHAR) AS category_id, CAST(user_id AS VARCHAR) AS "accountId", CASE WHEN user_id % 4 <> 0 THEN event_type || ', , z' ELSE '' END AS labels,
       CASE WHEN user_id % 3 = 0 THEN round(value, 2) END AS base_amount_value, CASE WHEN user_id % 3 = 0 THEN 'BGN' ELSE 'EUR' END AS base_amount_currency, json_extract_string(props, '$.k') AS k FROM events""",
-    "final_cleanup": f"WITH {CLEAN} SELECT transaction_type, count(*) AS n FROM clean GROUP BY 1",
+    "final_cleanup": f"WITH {CLEAN} SELECT transaction_hash, date, transaction_type, CAST(amount AS DECIMAL(12,2)) AS amount FROM clean WHERE id % 10 NOT IN (3, 4)",
     "account_filter": f"WITH {TXN} SELECT id, account, date FROM txn WHERE account IN ({ALLOWED}) AND NOT (account = 'BUILDING' AND date > DATE '1998-06-30')",
     "unrecognized_accounts": f"WITH {TXN} SELECT account, count(*) AS n FROM txn WHERE account NOT IN ({ALLOWED}) GROUP BY 1",
     "gold_slice_scan": f"WITH {SILVER} SELECT transaction_hash, transaction_date, amount_abs_eur, subcategory FROM expense WHERE subcategory IN ('Groceries', 'Taxi', 'Fuel') AND transaction_date BETWEEN DATE '1999-01-10' - 365 AND DATE '1999-06-20'",

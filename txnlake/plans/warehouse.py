@@ -20,7 +20,6 @@ import uuid
 from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -368,39 +367,45 @@ NAME = re.compile(r"^\d{3,}_[a-z0-9_]+\.sql$")
 
 
 class Migrations:
-    """A ledger of applied migration files by name and SHA-256; an edited file is refused."""
+    """A ledger of applied migration files by name and SHA-256; an edited file is refused.
 
-    def __init__(self, folder: str, ledger: str):
-        self.folder, self.ledger = Path(folder), Path(ledger)
+    Folder and ledger may be on any Hadoop file system. An entry of the ledger is a file of its own, published before the migration is
+    counted as applied, so that of two runs one records it.
+    """
 
-    def files(self) -> list[Path]:
-        found = sorted(self.folder.glob("*.sql")) if self.folder.exists() else []
-        bad = [f.name for f in found if not NAME.match(f.name)]
+    def __init__(self, spark: SparkSession, folder: str, ledger: str):
+        self.spark, self.folder, self.ledger = spark, Publisher(spark, folder.rstrip("/")), Publisher(spark, ledger.rstrip("/"))
+
+    def files(self) -> list[str]:
+        found = sorted(self.folder.names("*.sql"))
+        bad = [f for f in found if not NAME.match(f)]
         if bad:
             raise RuntimeError(f"migration names must be NNN_short_name.sql: {bad}")
         return found
 
+    def _sum(self, name: str) -> str:
+        return hashlib.sha256(self.folder.read(name).encode()).hexdigest()
+
     def applied(self) -> dict[str, str]:
-        return {k: v["checksum"] for k, v in json.loads(self.ledger.read_text()).items()} if self.ledger.exists() else {}
+        return {n[: -len(".json")]: json.loads(self.ledger.read(n))["checksum"] for n in self.ledger.names("*.sql.json")}
 
     def verify(self) -> None:
         done = self.applied()
-        bad = [f.name for f in self.files() if f.name in done and done[f.name] != hashlib.sha256(f.read_bytes()).hexdigest()]
+        bad = [f for f in self.files() if f in done and done[f] != self._sum(f)]
         if bad:
             raise RuntimeError(f"applied migrations were edited: {bad}")
 
     def status(self) -> list[tuple[str, str]]:
         done = self.applied()
-        return [(f.name, "applied" if f.name in done else "pending") for f in self.files()]
+        return [(f, "applied" if f in done else "pending") for f in self.files()]
 
-    def run(self, spark: SparkSession | None, dry_run: bool = False, baseline: bool = False) -> list[str]:
+    def run(self, dry_run: bool = False, baseline: bool = False) -> list[str]:
         """Apply pending files in order, or with baseline only record them. Returns their names."""
         self.verify()
-        done = json.loads(self.ledger.read_text()) if self.ledger.exists() else {}
-        pending = [f for f in self.files() if f.name not in done]
+        done = self.applied()
+        pending = [f for f in self.files() if f not in done]
         for f in [] if dry_run else pending:
-            for statement in [] if baseline else filter(str.strip, f.read_text().split(";")):
-                spark.sql(statement)
-            done[f.name] = {"checksum": hashlib.sha256(f.read_bytes()).hexdigest(), "applied_at": dt.datetime.now(dt.UTC).isoformat()}
-            self.ledger.write_text(json.dumps(done, indent=1))
-        return [f.name for f in pending]
+            for statement in [] if baseline else filter(str.strip, self.folder.read(f).split(";")):
+                self.spark.sql(statement)
+            self.ledger.publish(f"{f}.json", json.dumps({"checksum": self._sum(f), "applied_at": dt.datetime.now(dt.UTC).isoformat()}))
+        return pending
