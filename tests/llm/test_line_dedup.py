@@ -165,3 +165,14 @@ def test_long_blocks(spark):
     rows += [(10 + i, " ".join([*base[:6], f"x{chr(97 + i % 26)}{chr(97 + i // 26)}", *base[7:]])) for i in range(300)]
     kept = {r.doc_id: list(r.kept) for r in L.report(spark.createDataFrame(rows, "doc_id long, text string"), small=20).collect()}
     assert kept[0] == [0] and kept[1] == [] and kept[10] == [0] and not any(kept[10 + i] for i in range(1, 300))
+
+
+def test_bags_apart(spark):
+    """The codes of two counts differ in as many bits as the counts do modulo 16, and short lines and chunks meet at CHUNK words."""
+    rows = spark.range(256).selectExpr("id", "shiftleft(id, 56) | shiftleft(id, 8) | id AS c").selectExpr("id", f"{L._johnson('c')} AS code").collect()
+    for a in rows:
+        for b in rows:
+            assert ((a.code ^ b.code) % 2**64).bit_count() == 3 * min((a.id - b.id) % 16, (b.id - a.id) % 16)
+    assert L.CHUNK % L.STRIDE == 0 and L.CHUNK <= 127
+    # beyond 8000 bytes the JVM never compiles a method: the pair joins' condition stays far below
+    assert len(L._bags_apart("a.", "b.")) < 100

@@ -11,8 +11,8 @@
    of words, hold ``least_shared`` words or more and a quarter of each line's, and if the whole SimHashes differ in ``budget`` bits at
    most. Each pair of blocks is a key. The lines of a key are first compared with its head, the one of least hash, and those linked
    form groups; then only the pairs of different groups are left. So the n * n pairs of a line's n variants are never made. Pairs are
-   left out whose words, counted in BAGS bags by their hashes, differ more than the edits allowed can explain (two for each edit):
-   an exact test that loses no link.
+   left out whose words, counted modulo 16 in BAGS bags by their hashes, differ more than the edits allowed can explain (two for each
+   edit): an exact test that loses no link.
 5. A pair is linked if the edit similarity of its normalised lines, counted in words (each as one code point of its hash, of 2**19),
    is at least ``similarity``. All lines are compared alike, whatever their length.
 6. Of each connected group the first occurrence stays: the least (id, hash of text, line number).
@@ -41,7 +41,8 @@ LANES = 0x0101010101010101
 BLOCKS, TAKEN = 5, 2
 WIDTH = 12  # bits of a block, and of its number of words
 FULL = (1 << WIDTH) - 1
-CHUNK = 127
+STRIDE = 4
+CHUNK = 120  # a multiple of STRIDE, and no more than fits a signed byte
 BAGS = 16
 SEPARATORS = r"[^\p{L}\p{N}]+"
 SPACELESS = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
@@ -72,10 +73,21 @@ def _bag(column: str, at: int) -> str:
     return f"(shiftrightunsigned({column}, {8 * at}) & 255L)"
 
 
+def _johnson(c: str) -> str:
+    """SQL that turns eight byte-wide counts into Johnson codes of the counts modulo 16.
+
+    Two codes of eight bits differ in as many bits as the counts do modulo 16, at most what the counts differ by. A code is the lowest
+    r bits, r the count modulo 8, all turned round if the count has the bit of 8.
+    """
+    b0, b1, b2, b3 = c, *[f"shiftrightunsigned({c}, {i})" for i in (1, 2, 3)]
+    more = [f"{b0} | {b1} | {b2}", f"{b1} | {b2}", f"{b2} | ({b1} & {b0})", b2, f"{b2} & ({b0} | {b1})", f"{b2} & {b1}", f"{b2} & {b1} & {b0}"]
+    low = " | ".join(f"shiftleft(({x}) & {LANES}L, {i})" for i, x in enumerate(more))
+    return f"({low}) ^ (shiftleft({b3} & {LANES}L, 8) - ({b3} & {LANES}L))"
+
+
 def _bags_apart(a: str, b: str) -> str:
-    """SQL for what two lines' bags differ by at least; counts are known modulo 256."""
-    parts = [f"abs({_bag(f'{a}{c}', at)} - {_bag(f'{b}{c}', at)})" for c in BAG_COLUMNS for at in range(8)]
-    return " + ".join(f"least({x}, 256L - {x})" for x in parts)
+    """SQL for what two lines' bags, as Johnson codes, differ by at least; short, as methods of more than 8000 bytes are never compiled."""
+    return " + ".join(f"bit_count({a}{c} ^ {b}{c})" for c in BAG_COLUMNS)
 
 
 def _majority() -> str:
@@ -100,9 +112,9 @@ def simhashes(texts: DataFrame, min_words: int) -> DataFrame:
     """(d, t, line, words, h1, h2, fp, m) of the lines of (d, t, text) with min_words words or more.
 
     h1 and h2 are two 64-bit hashes of the sequence of words, fp is its SimHash and m has the numbers of words in its blocks, WIDTH bits
-    each and FULL at most. Words are exploded and summed in eight longs of eight byte-wide counters, the k-th of the bits k, k + 8, ...,
-    for up to CHUNK words of a line at a time; the sums are complete before the shuffle, as a line's words are in one task. Words that
-    begin with a digit vote as 0.
+    each and FULL at most. Words are summed STRIDE to a row, then in eight longs of eight byte-wide counters, the k-th of the bits k,
+    k + 8, ..., for up to CHUNK words of a line at a time; the sums are complete before the shuffle, as a line's words are in one task.
+    Words that begin with a digit vote as 0.
     """
     keys = ["d", "t", "row", "line"]
     w = texts.select("d", "t", F.monotonically_increasing_id().alias("row"), "text").select("d", "t", "row", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
@@ -112,36 +124,53 @@ def simhashes(texts: DataFrame, min_words: int) -> DataFrame:
     lead = F.when(F.get("all", F.lit(0)) == "", 1).otherwise(0)
     tail = F.when((F.size("all") > 1) & (F.element_at("all", -1) == ""), 1).otherwise(0)
     w = w.select(*keys, lead.alias("lead"), (F.size("all") - lead - tail).alias("words"), "all").where(F.col("words") >= min_words)
-    w = w.select(*keys, "lead", "words", F.posexplode("all").alias("at", "word")).where("word <> ''")
-    w = w.select(*keys, "words", (F.col("at") - F.col("lead")).alias("at"), F.xxhash64("word").alias("own"), F.expr("if(word < ':', xxhash64('0'), xxhash64(word))").alias("h"))
-    block = F.expr(f"{WIDTH} * cast(shiftrightunsigned(shiftrightunsigned(h, 48) * {BLOCKS}, 16) as int)")
-    w = w.select(*keys, "words", F.expr(f"at div {CHUNK}").alias("chunk"), F.xxhash64("own", "at").alias("x1"), F.xxhash64("at", "own").alias("x2"), "h", block.alias("at"), F.expr(f"cast(own & {BAGS - 1} as int)").alias("bag"))
-    bags = [F.expr(f"if(bag div 8 = {i}, shiftleft(1L, 8 * (bag % 8)), 0L)").alias(c) for i, c in enumerate(BAG_COLUMNS)]
-    w = w.select(*keys, "words", "chunk", "x1", "x2", *bags, F.expr(f"h & shiftleft({FULL}L, at)").alias("v"), F.expr("shiftleft(1L, at)").alias("one"))
+    w = w.select(*keys, "words", F.expr("if(words = size(all), all, slice(all, lead + 1, words))").alias("all"))
+    w = w.select(*keys, "words", "all", F.xxhash64("all").alias("h1"), F.xxhash64(F.lit(1), "all").alias("h2"))
+    # STRIDE words to a row, those beyond the last masked; each step is a projection of its own, so that nothing is worked out twice
+    each, line = range(STRIDE), ["words", "h1", "h2"]
+    w = w.select(*keys, *line, "all", F.explode(F.expr(f"sequence(0, words - 1, {STRIDE})")).alias("at"))
+    here = [F.expr(f"if(at + {j} < words, -1L, 0L)").alias(f"k{j}") for j in each]
+    w = w.select(*keys, *line, F.expr(f"at div {CHUNK}").alias("chunk"), *here, *[F.expr(f"coalesce(get(all, at + {j}), '')").alias(f"w{j}") for j in each])
+    line += ["chunk", *[f"k{j}" for j in each]]
+    w = w.select(*keys, *line, *[F.xxhash64(f"w{j}").alias(f"o{j}") for j in each], *[F.expr(f"w{j} < ':'").alias(f"n{j}") for j in each])
+    bag = [F.expr(f"shiftleft(k{j} & 1L, cast(shiftleft(o{j} & 7L, 3) as int))").alias(f"g{j}") for j in each]
+    w = w.select(*keys, *line, *[f"o{j}" for j in each], *bag, *[F.expr(f"if(n{j}, xxhash64('0'), o{j})").alias(f"x{j}") for j in each])
+    bags = [" + ".join(f"if((o{j} & {BAGS - 8}L) = {8 * i}L, g{j}, 0L)" for j in each) for i in range(BAGS // 8)]
+    block = [F.expr(f"{WIDTH} * cast(shiftrightunsigned(shiftrightunsigned(x{j}, 48) * {BLOCKS}, 16) as int)").alias(f"b{j}") for j in each]
+    w = w.select(*keys, *line, *[F.expr(x).alias(c) for c, x in zip(BAG_COLUMNS, bags, strict=True)], *[f"x{j}" for j in each], *block)
+    line = ["words", "h1", "h2", "chunk", *BAG_COLUMNS]
+    one = " + ".join(f"shiftleft(k{j} & 1L, b{j})" for j in each)
+    w = w.select(*keys, *line, F.expr(one).alias("m"), *[F.expr(f"k{j} & x{j} & shiftleft({FULL}L, b{j})").alias(f"v{j}") for j in each])
+    lanes = [F.expr(" + ".join(f"(shiftrightunsigned(v{j}, {k}) & {LANES}L)" for j in each)).alias(f"l{k}") for k in range(8)]
+    w = w.select(*keys, *line, "m", *lanes)
     # the number of words is no grouping key, so that the two filters below stay above the sums and share them
-    sums = [F.sum(F.expr(f"shiftrightunsigned(v, {k}) & {LANES}L")).alias(f"l{k}") for k in range(8)]
-    w = w.groupBy(*keys, "chunk").agg(F.max("words").alias("words"), F.bit_xor("x1").alias("h1"), F.bit_xor("x2").alias("h2"), F.sum("one").alias("m"), *[F.sum(f"c{i}").alias(f"c{i}") for i in range(BAGS // 8)], *sums)
+    w = w.groupBy(*keys, "chunk").agg(*[F.max(c).alias(c) for c in ("words", "h1", "h2")], *[F.sum(c).alias(c) for c in ("m", *BAG_COLUMNS, *[f"l{k}" for k in range(8)])])
     own = ["d", "t", "line", "words", "h1", "h2", *BAG_COLUMNS, "fp", "m"]
     short = w.where(F.col("words") <= CHUNK).withColumn("fp", F.expr(_majority())).select(*own)
-    # longer lines: one row for each chunk, whose counters are taken apart and summed
-    votes = [F.sum(F.expr(f"shiftrightunsigned(l{b % 8}, {b - b % 8}) & 255L")).alias(f"v{b}") for b in range(BLOCKS * WIDTH)]
+    # longer lines: one row for each chunk, whose counters are summed by two in a long, 32 bits each
+    apart = lambda c, p: F.sum(F.expr(f"shiftrightunsigned({c}, {8 * p}) & {0x000000FF000000FF}L"))
+    votes = [apart(f"l{k}", p).alias(f"l{k}_{p}") for k in range(8) for p in range(4)]
     totals = [F.sum(F.expr(_count(i))).alias(f"m{i}") for i in range(BLOCKS)]
-    totals += [F.sum(F.expr(_bag(f"c{b // 8}", b % 8))).alias(f"b{b}") for b in range(BAGS)]
-    long = w.where(F.col("words") > CHUNK).groupBy(*keys).agg(F.max("words").alias("words"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2"), *totals, *votes)
-    bits = " | ".join(f"if(2 * v{b} > m{b // WIDTH}, {1 << b}L, 0L)" for b in range(BLOCKS * WIDTH))
+    totals += [apart(c, p).alias(f"{c}_{p}") for c in BAG_COLUMNS for p in range(4)]
+    long = w.where(F.col("words") > CHUNK).groupBy(*keys).agg(F.max("words").alias("words"), F.max("h1").alias("h1"), F.max("h2").alias("h2"), *totals, *votes)
+    # a counter exceeds half of m exactly if adding 2**30 - 1 - m div 2 sets bit 30
+    long = long.withColumns({f"q{i}": F.expr(f"{(1 << 30) - 1} - m{i} div 2") for i in range(BLOCKS)})
+    more = lambda bit: f"q{bit // WIDTH}" if bit < BLOCKS * WIDTH else "0L"
+    half = lambda at: f"shiftrightunsigned(l{at % 8}_{at // 8} + {more(at)} + shiftleft({more(at + 32)}, 32), 30) & {0x100000001}L"
+    bits = " | ".join(f"shiftleft({half(at)}, {at})" for at in range(32))
     m = " | ".join(f"shiftleft(least(m{i}, {FULL}L), {WIDTH * i})" for i in range(BLOCKS))
-    bags = [F.expr(" | ".join(f"shiftleft(b{8 * i + j} & 255L, {8 * j})" for j in range(8))).alias(f"c{i}") for i in range(BAGS // 8)]
+    bags = [F.expr(" | ".join(f"shiftleft({c}_{p} & {0x000000FF000000FF}L, {8 * p})" for p in range(4))).alias(c) for c in BAG_COLUMNS]
     return short.unionByName(long.select(*own[:6], *bags, F.expr(bits).alias("fp"), F.expr(m).alias("m")))
 
 
 def keyed(lines: DataFrame, least_shared: int, extra: tuple[str, ...] = ()) -> DataFrame:
     """(key, h1, *extra): a row for each line (h1, words, fp, m) and pair of blocks that holds enough of its words."""
-    choices = list(itertools.combinations(range(BLOCKS), TAKEN))
+    need = F.expr(f"greatest({least_shared}, (least(words, {FULL}) + 3) div 4)").alias("need")
+    lines = lines.select("h1", "fp", "m", need, *[F.expr(_count(i)).alias(f"n{i}") for i in range(BLOCKS)], *[c for c in extra if c != "fp"])
     parts = []
-    for n, c in enumerate(choices):
-        bits, held = sum(FULL << WIDTH * i for i in c), " + ".join(map(_count, c))
-        enough = f"{held} >= {least_shared} AND 4 * ({held}) >= least(words, {FULL})"
-        parts.append(F.expr(f"if({enough}, xxhash64({n}, fp & {bits}L, m & {bits}L), null)"))
+    for n, c in enumerate(itertools.combinations(range(BLOCKS), TAKEN)):
+        bits, held = sum(FULL << WIDTH * i for i in c), " + ".join(f"n{i}" for i in c)
+        parts.append(F.expr(f"if({held} >= need, xxhash64({n}, fp & {bits}L, m & {bits}L), null)"))
     return lines.select(F.explode(F.array(*parts)).alias("key"), "h1", *extra).where("key IS NOT NULL")
 
 
@@ -184,7 +213,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lines = written(simhashes(texts, min_words), "lines")
     place = F.struct("d", "t", "line")
     known = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), *[F.min(c).alias(c) for c in ("d", "t", "line", "words", "fp", "m", *BAG_COLUMNS)])
-    known = written(known, "distinct_lines")
+    known = written(known.withColumns({c: F.expr(_johnson(c)) for c in BAG_COLUMNS}), "distinct_lines")
     # all occurrences of lines that repeat, to find the first
     repeated = _small(known.where("n > 1").select("h1", "h2"), small)
     again = written(lines.select("h1", "h2", "d", "t", "line").join(repeated, ["h1", "h2"]), "repeated")
